@@ -49,7 +49,9 @@ GENERATORS = (
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "t rlike r'[A-Z]{2}[0-9]{2}'", "iban account bank transfer"),
 )
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
-FEATURES = ("digits", "letters", "seps", "size", "context", "left_word", "right_word", "kinds", "sep_kinds", "first_digit")
+FEATURES = ("digits", "letters", "seps", "size", "context", "left_word", "right_word", "kinds", "sep_kinds", "first_digit", "against")
+#: words before a span that speak for a plain number
+AGAINST = "order|version|isbn|part|total|table|invoice|item"
 
 
 def _q(pattern: str) -> str:
@@ -65,7 +67,8 @@ def _feature_sql(kind: str, words: str) -> str:
       'context', int(lower(x.l) rlike '{context}'), 'left_word', int(x.l rlike '[A-Za-z0-9.,-]$'),
       'right_word', int(x.r rlike '^([A-Za-z0-9]|[.,-][0-9])'), 'kinds', {KINDS.index(kind)},
       'sep_kinds', size(array_distinct(regexp_extract_all(x.m, '[^A-Za-z0-9]', 0))),
-      'first_digit', int(coalesce(try_cast(substring(regexp_extract(x.m, '[0-9]', 0), 1, 1) as int), -1)))"""
+      'first_digit', int(coalesce(try_cast(substring(regexp_extract(x.m, '[0-9]', 0), 1, 1) as int), -1)),
+      'against', int(lower(x.l) rlike '{AGAINST}'))"""
 
 
 def features(kind: str, m: str, left: str, right: str) -> list[float]:
@@ -76,7 +79,7 @@ def features(kind: str, m: str, left: str, right: str) -> list[float]:
         len(d), len(re.sub("[^A-Za-z]", "", m)), len(re.sub("[A-Za-z0-9]", "", m)), len(m),
         bool(re.search("|".join(words.split()), left.lower())), bool(re.search("[A-Za-z0-9.,-]$", left)),
         bool(re.search("^([A-Za-z0-9]|[.,-][0-9])", right)), KINDS.index(kind),
-        len(set(re.findall("[^A-Za-z0-9]", m))), int(d[0]) if d else -1,
+        len(set(re.findall("[^A-Za-z0-9]", m))), int(d[0]) if d else -1, bool(re.search(AGAINST, left.lower())),
     ]
 
 

@@ -77,16 +77,20 @@ def line_features(words: Words, hashed: np.ndarray, texts: list[bytes]):
 
 def viterbi(emission: np.ndarray, stay_content: float, stay_boiler: float) -> list[bool]:
     """Best labels of a chain; ``emission`` is the score of content over boilerplate."""
-    c = b = 0.0
+    if not len(emission):
+        return []
+    first, *rest = emission.tolist()
+    c, b = first, 0.0
     back = []
-    for e in emission.tolist():
+    for e in rest:
         from_c, from_b = c + stay_content >= b, c > b + stay_boiler
         back.append((from_c, from_b))
         c, b = (c + stay_content if from_c else b) + e, (c if from_b else b + stay_boiler)
-    out, state = [], c >= b
+    state = c >= b
+    out = [state]
     for from_c, from_b in reversed(back):
-        out.append(state)
         state = from_c if state else from_b
+        out.append(state)
     return out[::-1]
 
 

@@ -1,6 +1,6 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed byte n-grams: the target model is counted on
+Two generative models over hashed byte n-grams and word-pair classes: the target model is counted on
 good labelled documents (a bounded sample), the raw model on all documents.  A
 document's log weight is the mean log ratio over its n-grams; Gumbel top-k takes
 k documents without replacement in proportion to the tempered weights, where k
@@ -19,38 +19,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import map_texts, mix
+from .arrays import Words, bounded_batches, map_texts, mix, slices, texts_of
+from .shared import cut as cut_lineage
 
 BUCKETS = 1 << 14
-SIZES = (2, 3, 4)  #: bytes per n-gram
+SIZES = (3,)  #: bytes per n-gram
 SAMPLE_ROWS = 20_000  #: labelled rows used for the target model and the cut, at most
-TEMPERATURE = 0.01
+TEMPERATURE = 0.002
 SCHEMA = "doc_id long, n_grams long, log_weight double"
 
 
-def gram_buckets(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams that stay within one text, and the text of each."""
+    words = Words(texts)
+    starts, buf = words.text_start, words.buf
     ends = np.r_[starts[1:], len(buf)] - 1  # a separator byte closes each text
-    out, of = [], []
+    out, of = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     wide = buf.astype(np.uint64)
     for n in SIZES:
         count = np.maximum(0, ends - starts - n + 1)
-        total = int(count.sum())
-        if not total:
-            continue
-        at = np.arange(total) + np.repeat(starts - np.r_[0, np.cumsum(count)[:-1]], count)
+        at = np.arange(int(count.sum())) + np.repeat(starts - np.r_[0, np.cumsum(count)[:-1]], count)
         key = np.zeros(max(0, len(buf) - n + 1), np.uint64)
         for k in range(n):
             key = key << np.uint64(8) | wide[k : k + len(key)]
-        hashed = (mix(key + np.uint64(n << 40)) >> np.uint64(50)).astype(np.int32)
-        out.append(hashed[at])
+        out.append((mix(key + np.uint64(n << 40)) >> np.uint64(50)).astype(np.int32)[at])
         of.append(np.repeat(np.arange(len(starts), dtype=np.int32), count))
-    return (np.concatenate(out), np.concatenate(of)) if out else (np.zeros(0, np.int32), np.zeros(0, np.int32))
-
-
-def laid(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    return np.frombuffer(b"\n".join(texts) + b"\n", np.uint8), np.cumsum(size) - size
+    # word pairs count by whether both are equal: repetition looks alike for every word
+    hashed = words.hashes()
+    pair = np.flatnonzero(words.text_of[1:] == words.text_of[:-1])
+    out.append((hashed[pair] == hashed[pair + 1]).astype(np.int32))
+    of.append(words.text_of[pair].astype(np.int32))
+    return np.concatenate(out), np.concatenate(of)
 
 
 def labelled(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -68,8 +67,6 @@ def models(docs: DataFrame, sample: DataFrame) -> np.ndarray | None:
     spark = docs.sparkSession
     good = F.broadcast(sample.where("_y = 1 and _half = 0").select("_id", F.lit(1).alias("_good")))
     marked = docs.select("doc_id", "text").join(good, docs["doc_id"] == good["_id"], "left").select("_good", "text")
-    from .arrays import bounded_batches, slices, texts_of
-
     bounded_batches(spark)
 
     def count(batches):
@@ -77,7 +74,7 @@ def models(docs: DataFrame, sample: DataFrame) -> np.ndarray | None:
         for batch in batches:
             marks, texts = np.array([m == 1 for m in batch.column(0).to_pylist()], bool), texts_of(batch.column(1))
             for a, b in slices([len(t) for t in texts]):
-                key, of = gram_buckets(*laid(texts[a:b]))
+                key, of = gram_buckets(texts[a:b])
                 raw += np.bincount(key, minlength=BUCKETS)
                 if marks[a:b].any():
                     target += np.bincount(key[marks[a:b][of]], minlength=BUCKETS)
@@ -99,7 +96,7 @@ def weights(docs: DataFrame, ratio: np.ndarray | None) -> DataFrame:
     table = np.zeros(BUCKETS) if ratio is None else ratio
 
     def work(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        key, of = gram_buckets(*laid(texts))
+        key, of = gram_buckets(texts)
         n = np.bincount(of, minlength=len(texts))
         total = np.bincount(of, weights=table[key], minlength=len(texts))
         mean = np.where(n > 0, total / np.maximum(1, n), -np.inf)
@@ -108,7 +105,7 @@ def weights(docs: DataFrame, ratio: np.ndarray | None) -> DataFrame:
     return map_texts(docs, work, SCHEMA)
 
 
-def best_cut(pairs: list[tuple[float, int]], good_cost: float = 5.0) -> float:
+def best_cut(pairs: list[tuple[float, int]], good_cost: float = 10.0) -> float:
     """The weight over which documents count as good; losing a good one costs ``good_cost`` times keeping a bad one."""
     pairs = sorted((w, y) for w, y in pairs if np.isfinite(w))
     bad, good = sum(1 - y for _, y in pairs), sum(y for _, y in pairs)
@@ -133,13 +130,13 @@ def kth_largest(keys: DataFrame, column: str, k: int, lo: float, hi: float, bins
             return lo
         slot = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("int")))
         inside = at.where(F.col("x").between(lo, hi))
-        hist = {r[0]: (r[1], r[2]) for r in inside.groupBy(slot.alias("s")).agg(F.count("*"), F.min("x")).collect()}
+        hist = {r[0]: tuple(r[1:]) for r in inside.groupBy(slot.alias("s")).agg(F.count("*"), F.min("x"), F.max("x")).collect()}
         for s in sorted(hist, reverse=True):
-            n, least = hist[s]
+            n, least, most = hist[s]
             if need <= n:
                 if need == n:
                     return least
-                lo, hi = least, min(hi, lo + width * (s + 1))
+                lo, hi = least, most
                 break
             need -= n
     return lo
@@ -147,15 +144,12 @@ def kth_largest(keys: DataFrame, column: str, k: int, lo: float, hi: float, bins
 
 def classify(docs: DataFrame, labels: DataFrame, seed: int = 1, rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: log weight, Gumbel key, and whether it is among the k taken."""
-    spark = docs.sparkSession
     sample = labelled(labels, rows)
     ratio = models(docs, sample)
     scored = weights(docs, ratio)
     unit = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     keyed = scored.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("log_weight") / F.lit(TEMPERATURE) - F.log(-F.log(unit))))
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spanloom-checkpoints")
-    keyed = keyed.checkpoint()
+    keyed = cut_lineage(keyed)
     cut = -np.inf
     if ratio is not None:
         held = F.broadcast(sample.where("_half = 1").select("_id", "_y"))
