@@ -1,9 +1,543 @@
-"""The query catalogue."""
+"""The query catalogue: each query with the SQL that must give the same rows."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions import text as tx
+from ..operators import audit, augment, gate, metrics, serving, spans, splits
+from ..streaming import requests as streams
+from .fixture import ANNOTATIONS_SQL, TOKENS_SQL, annotation_sql, gold, pred, table, toks
 
-def oracle_sql():
-    return {}
+Q: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        Q[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+PRF = """round(CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END, 6) AS precision, round(CASE WHEN n_gold > 0 THEN tp / n_gold ELSE 0 END, 6) AS recall,
+round(CASE WHEN tp > 0 THEN 2.0 * tp / (n_pred + n_gold) ELSE 0 END, 6) AS f1"""
+FLAGS = """flags AS (SELECT doc_id, lang, start, stop, type, max(g) AS g, max(p) AS p FROM
+ (SELECT doc_id, lang, start, stop, type, 1 AS g, 0 AS p FROM gold UNION ALL SELECT doc_id, lang, start, stop, type, 0, 1 FROM pred) GROUP BY ALL)"""
+ERRORS = """touch AS (SELECT g.doc_id, g.start AS gs, g.stop AS ge, g.type AS gt, p.start AS ps, p.stop AS pe, p.type AS pt,
+   CASE WHEN g.start = p.start AND g.stop = p.stop AND g.type = p.type THEN 'EXACT' WHEN g.type = p.type THEN 'BOUNDARY' ELSE 'TYPE_MISMATCH' END AS class
+   FROM gold g JOIN pred p ON g.doc_id = p.doc_id AND g.start < p.stop AND p.start < g.stop),
+ errs AS (SELECT gt, pt, class FROM touch
+   UNION ALL SELECT type, NULL, 'MISS' FROM gold g WHERE NOT EXISTS (SELECT 1 FROM touch t WHERE t.doc_id = g.doc_id AND t.gs = g.start AND t.ge = g.stop)
+   UNION ALL SELECT NULL, type, 'HALLUCINATION' FROM pred p WHERE NOT EXISTS (SELECT 1 FROM touch t WHERE t.doc_id = p.doc_id AND t.ps = p.start AND t.pe = p.stop))"""
+
+
+@query(f"""{ANNOTATIONS_SQL}, {FLAGS}, c AS (SELECT coalesce(type, 'ALL') AS type, CAST(sum(g * p) AS BIGINT) AS tp, CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold
+FROM flags GROUP BY GROUPING SETS ((type), ())) SELECT *, {PRF} FROM c""")
+def strict_span_f1(spark, d):
+    return metrics.strict(gold(spark, d), pred(spark, d))
+
+
+@query(f"""{ANNOTATIONS_SQL}, {FLAGS}, c AS (SELECT lang, coalesce(type, 'ALL') AS type, CAST(sum(g * p) AS BIGINT) AS tp, CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold
+FROM flags GROUP BY GROUPING SETS ((lang, type), (lang))) SELECT *, {PRF} FROM c""")
+def strict_span_f1_by_lang(spark, d):
+    return metrics.strict(gold(spark, d), pred(spark, d), ["lang"])
+
+
+@query(f"""{ANNOTATIONS_SQL}, m AS (SELECT g.type, CAST(g.start = p.start AND g.stop = p.stop AS BIGINT) AS cor FROM gold g JOIN pred p ON g.doc_id = p.doc_id AND g.type = p.type AND g.start < p.stop AND p.start < g.stop),
+k AS (SELECT type, CAST(sum(cor) AS BIGINT) AS cor, CAST(sum(1 - cor) AS BIGINT) AS par FROM m GROUP BY type),
+n AS (SELECT type, CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold FROM (SELECT type, 0 AS p, 1 AS g FROM gold UNION ALL SELECT type, 1, 0 FROM pred) GROUP BY type),
+b AS (SELECT n.type, coalesce(cor, 0) AS cor, coalesce(par, 0) AS par, n_pred, n_gold FROM n LEFT JOIN k ON n.type = k.type),
+c AS (SELECT coalesce(type, 'ALL') AS type, CAST(sum(cor) AS BIGINT) AS cor, CAST(sum(par) AS BIGINT) AS par, CAST(sum(n_pred) AS BIGINT) AS n_pred, CAST(sum(n_gold) AS BIGINT) AS n_gold FROM b GROUP BY GROUPING SETS ((type), ()))
+SELECT type, cor, par, n_pred, n_gold, precision, recall, f1 FROM (SELECT *, cor + par * 0.5 AS tp, {PRF} FROM c)""")
+def relaxed_span_f1(spark, d):
+    return metrics.relaxed(gold(spark, d), pred(spark, d))
+
+
+@query(f"{ANNOTATIONS_SQL}, {ERRORS} SELECT class, count(*) AS n FROM errs GROUP BY class")
+def span_error_classes(spark, d):
+    return metrics.errors(gold(spark, d), pred(spark, d)).groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query(f"{ANNOTATIONS_SQL}, {ERRORS} SELECT coalesce(gt, pt) AS type, class, count(*) AS n FROM errs WHERE class <> 'EXACT' GROUP BY ALL")
+def span_errors_by_type(spark, d):
+    e = metrics.errors(gold(spark, d), pred(spark, d)).where("class <> 'EXACT'")
+    return e.groupBy(F.coalesce("g_type", "p_type").alias("type"), "class").agg(F.count("*").alias("n"))
+
+
+@query(f"{ANNOTATIONS_SQL}, {ERRORS} SELECT coalesce(gt, '∅') AS gold_type, coalesce(pt, '∅') AS pred_type, count(*) AS n FROM errs GROUP BY ALL")
+def confusion_matrix(spark, d):
+    e = metrics.errors(gold(spark, d), pred(spark, d))
+    return e.groupBy(F.coalesce("g_type", F.lit("∅")).alias("gold_type"), F.coalesce("p_type", F.lit("∅")).alias("pred_type")).agg(F.count("*").alias("n"))
+
+
+@query(f"""{ANNOTATIONS_SQL}, miss AS (SELECT g.* FROM gold g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE p.doc_id = g.doc_id AND p.start < g.stop AND g.start < p.stop))
+SELECT type, surface, n, CAST(r AS INTEGER) AS r FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY n DESC, surface) AS r FROM (SELECT type, surface, count(*) AS n FROM miss GROUP BY ALL)) WHERE r <= 5""")
+def top_error_surfaces(spark, d):
+    e = metrics.errors(gold(spark, d), pred(spark, d)).where("class = 'MISS'")
+    g = gold(spark, d).select("doc_id", F.col("start").alias("g_start"), "surface")
+    n = e.join(g, ["doc_id", "g_start"]).groupBy(F.col("g_type").alias("type"), "surface").agg(F.count("*").alias("n"))
+    return n.withColumn("r", F.row_number().over(Window.partitionBy("type").orderBy(F.desc("n"), "surface"))).where("r <= 5")
+
+
+@query(f"""{ANNOTATIONS_SQL}, c AS (SELECT doc_id, surface, type, sum(g) AS g, sum(p) AS p FROM (SELECT doc_id, surface, type, 1 AS g, 0 AS p FROM gold UNION ALL SELECT doc_id, surface, type, 0, 1 FROM pred) GROUP BY ALL),
+t AS (SELECT type, CAST(sum(least(g, p)) AS BIGINT) AS tp, CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold FROM c GROUP BY type) SELECT *, {PRF} FROM t""")
+def text_match_exact(spark, d):
+    return metrics.text_match_exact(gold(spark, d), pred(spark, d))
+
+
+TAGGED = """tagged AS (SELECT t.doc_id, t.tok, t.start, t.word, CASE WHEN g.type IS NULL THEN 'O' ELSE 'B-' || g.type END AS tag FROM toks t LEFT JOIN gold g ON t.doc_id = g.doc_id AND t.tok = g.tok)"""
+
+
+@query(f"{TOKENS_SQL}, {TAGGED} SELECT tag, count(*) AS n FROM tagged GROUP BY tag")
+def bio_encode(spark, d):
+    return spans.bio_encode(toks(spark, d), gold(spark, d)).groupBy("tag").agg(F.count("*").alias("n"))
+
+
+@query(f"{TOKENS_SQL} SELECT type, count(*) AS n_spans, count(*) AS n_same_start FROM gold GROUP BY type")
+def bio_decode_roundtrip(spark, d):
+    g = gold(spark, d)
+    back = spans.bio_decode(spans.bio_encode(toks(spark, d), g))
+    hits = back.join(g.select("doc_id", "start", "type", F.lit(1).alias("hit")), ["doc_id", "start", "type"], "left")
+    return hits.groupBy("type").agg(F.count("*").alias("n_spans"), F.count("hit").alias("n_same_start"))
+
+
+@query(f"""{TOKENS_SQL}, {TAGGED}, x AS (SELECT *, lag(tag) OVER (PARTITION BY doc_id ORDER BY tok) AS prev FROM tagged)
+SELECT tag, count(*) AS n FROM (SELECT CASE WHEN tag <> 'O' AND prev <> 'O' AND substr(prev, 3) = substr(tag, 3) THEN 'I-' || substr(tag, 3) ELSE tag END AS tag FROM x) GROUP BY tag""")
+def bio_repair(spark, d):
+    return spans.repair_bio(spans.bio_encode(toks(spark, d), gold(spark, d))).groupBy("tag").agg(F.count("*").alias("n"))
+
+
+UNITS = "units AS (SELECT md5(text) AS unit, count(*) AS n, min(lang) AS stratum FROM documents GROUP BY 1)"
+KFOLD = f"""{UNITS}, folds AS (SELECT unit, n, stratum, CAST((row_number() OVER (PARTITION BY stratum ORDER BY md5('42|' || unit), unit) - 1) % 5 AS INTEGER) AS fold FROM units)"""
+
+
+def units(spark, d) -> DataFrame:
+    return table(spark, d, "documents").groupBy(F.md5("text").alias("unit")).agg(F.count("*").alias("n"), F.min("lang").alias("stratum"))
+
+
+@query(f"WITH {KFOLD} SELECT unit, fold FROM folds")
+def kfold_assignment(spark, d):
+    return splits.kfold(units(spark, d), 5, 42, "unit", "stratum").select("unit", "fold")
+
+
+@query(f"WITH {KFOLD} SELECT stratum, fold, count(*) AS n_units, CAST(sum(n) AS BIGINT) AS n_rows FROM folds GROUP BY ALL")
+def kfold_stratum_balance(spark, d):
+    return splits.kfold(units(spark, d), 5, 42, "unit", "stratum").groupBy("stratum", "fold").agg(F.count("*").alias("n_units"), F.sum("n").alias("n_rows"))
+
+
+SPLIT = f"""{UNITS}, c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY md5('7|' || unit), unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM units),
+split AS (SELECT unit, n, CASE WHEN before < total * 0.1 THEN 'test' WHEN before < total * 0.2 THEN 'valid' ELSE 'train' END AS split FROM c)"""
+
+
+@query(f"WITH {SPLIT} SELECT split, count(*) AS n_units, CAST(sum(n) AS BIGINT) AS n_rows FROM split GROUP BY split")
+def group_split_sizes(spark, d):
+    return splits.quota_split(units(spark, d), 7, "unit", "n", 0.1, 0.1).groupBy("split").agg(F.count("*").alias("n_units"), F.sum("n").alias("n_rows"))
+
+
+@query(f"""WITH {SPLIT}, r AS (SELECT s.split, doc_id, unit FROM documents JOIN split s ON md5(text) = unit)
+SELECT count(*) AS n_leaked FROM (SELECT DISTINCT unit FROM r WHERE split = 'test') a WHERE unit IN (SELECT unit FROM r WHERE split <> 'test')""")
+def group_split_leak(spark, d):
+    s = splits.quota_split(units(spark, d), 7, "unit", "n", 0.1, 0.1)
+    rows = table(spark, d, "documents").select("doc_id", F.md5("text").alias("unit")).join(s, "unit")
+    return rows.where("split = 'test'").select("unit").distinct().join(rows.where("split <> 'test'"), "unit", "left_semi").agg(F.count("*").alias("n_leaked"))
+
+
+@query(f"""{TOKENS_SQL}, w AS (SELECT t.doc_id, count(*) FILTER (WHERE g.tok IS NULL AND regexp_matches(t.word, '[A-Za-z0-9]')) AS n_context FROM toks t LEFT JOIN gold g ON t.doc_id = g.doc_id AND t.tok = g.tok GROUP BY 1),
+y AS (SELECT doc_id, count(DISTINCT type) AS n_types FROM gold GROUP BY 1)
+SELECT w.doc_id, n_context, coalesce(n_types, 0) AS n_types, n_context >= 20 AND coalesce(n_types, 0) = 5 AS eligible FROM w LEFT JOIN y ON w.doc_id = y.doc_id""")
+def holdout_eligibility(spark, d):
+    g = gold(spark, d)
+    t = toks(spark, d).join(g.select("doc_id", "tok", F.lit(1).alias("in")), ["doc_id", "tok"], "left")
+    w = t.groupBy("doc_id").agg(F.count_if(F.col("in").isNull() & F.col("word").rlike("[A-Za-z0-9]")).alias("n_context"))
+    y = g.groupBy("doc_id").agg(F.count_distinct("type").alias("n_types"))
+    j = w.join(y, "doc_id", "left").withColumn("n_types", F.coalesce("n_types", F.lit(0).cast("long")))
+    return j.withColumn("eligible", (F.col("n_context") >= 20) & (F.col("n_types") == 5))
+
+
+@query("""WITH r AS (SELECT doc_id, md5(text) AS v, doc_id % 5 AS fold FROM documents), f AS (SELECT v, arg_min(fold, doc_id) AS first_fold FROM r GROUP BY v)
+SELECT fold, count(*) AS n FROM r JOIN f USING (v) WHERE fold <> first_fold GROUP BY fold""")
+def cross_fold_sibling_leak(spark, d):
+    r = table(spark, d, "documents").select("doc_id", F.md5("text").alias("v"), (F.col("doc_id") % 5).alias("fold"))
+    return splits.sibling_leak(r, "v", "fold", "doc_id").groupBy("fold").agg(F.count("*").alias("n"))
+
+
+@query("""WITH f AS (SELECT doc_id % 3 AS fold, count(*) - count(DISTINCT md5(text)) AS dups FROM documents GROUP BY 1) SELECT 'text' AS basis, CAST(sum(dups) AS BIGINT) AS dups FROM f""")
+def leak_basis(spark, d):
+    f = table(spark, d, "documents").groupBy((F.col("doc_id") % 3).alias("fold")).agg((F.count("*") - F.count_distinct(F.md5("text"))).alias("dups"))
+    return splits.leak_basis(f.withColumn("basis", F.element_at(F.array(F.lit("group"), F.lit("text"), F.lit("orig")), (F.col("fold") + 1).cast("int"))))
+
+
+LINE_SQL = """SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"""
+
+
+@query(f"""WITH l AS (SELECT DISTINCT doc_id, line FROM ({LINE_SQL})) SELECT b.item_id, count(*) AS n_docs FROM benchmark b JOIN l ON trim(l.line) = trim(b.text) GROUP BY 1""")
+def benchmark_leakage(spark, d):
+    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).select("doc_id", F.trim("line").alias("line")).distinct()
+    b = table(spark, d, "benchmark").select("item_id", F.trim("text").alias("line"))
+    return lines.join(b, "line").groupBy("item_id").agg(F.count("*").alias("n_docs"))
+
+
+@query("""WITH c AS (SELECT md5(text) AS k, lang, source FROM documents), b AS (SELECT count(DISTINCT k) AS b FROM c),
+x AS (SELECT 'lang' AS field, max(d) AS most, CAST(sum(m) AS BIGINT) AS missing FROM (SELECT k, count(DISTINCT lang) AS d, count(*) FILTER (WHERE lang IS NULL) AS m FROM c GROUP BY k)
+ UNION ALL SELECT 'source', max(d), CAST(sum(m) AS BIGINT) FROM (SELECT k, count(DISTINCT source) AS d, count(*) FILTER (WHERE source IS NULL) AS m FROM c GROUP BY k)),
+n AS (SELECT 'lang' AS field, count(DISTINCT lang) AS n_values FROM c UNION ALL SELECT 'source', count(DISTINCT source) FROM c)
+SELECT field, missing, n_values, missing = 0 AND n_values > 1 AND n_values < b AND most = 1 AS stronger FROM x JOIN n USING (field), b""")
+def stronger_group_key(spark, d):
+    return splits.stronger_keys(table(spark, d, "documents").select(F.md5("text").alias("k"), "lang", "source"), "k", ["lang", "source"])
+
+
+@query("""WITH r AS (SELECT doc_id, sha256(text) AS d, doc_id // 4096 AS b FROM documents), s AS (SELECT b, sha256(string_agg(d, ',' ORDER BY doc_id, d)) AS d FROM r GROUP BY b)
+SELECT substr(sha256(string_agg(d, ',' ORDER BY b)), 1, 16) AS fingerprint FROM s""")
+def dataset_fingerprint(spark, d):
+    return splits.fingerprint(table(spark, d, "documents"), "doc_id", "text")
+
+
+def run_scores(spark, d) -> DataFrame:
+    """F1 of two runs by fold and entity."""
+    g = gold(spark, d).withColumn("fold", F.col("doc_id") % 5)
+    runs = []
+    for name, modulus in (("a", 20), ("b", 25)):
+        p = pred(spark, d, modulus).withColumn("fold", F.col("doc_id") % 5)
+        runs.append(metrics.strict(g, p, ["fold"]).select(F.lit(name).alias("run"), "fold", F.col("type").alias("entity"), "f1"))
+    return runs[0].unionByName(runs[1])
+
+
+def pooled_scores(spark, d) -> DataFrame:
+    g = gold(spark, d)
+    runs = [metrics.strict(g, pred(spark, d, m)).select(F.lit(n).alias("run"), F.col("type").alias("entity"), "f1") for n, m in (("a", 20), ("b", 25))]
+    return runs[0].unionByName(runs[1])
+
+
+def _run_sql(name: str, p: str, fold: bool) -> str:
+    by = "doc_id % 5 AS fold, " if fold else ""
+    sets = "GROUPING SETS ((fold, type), (fold))" if fold else "GROUPING SETS ((type), ())"
+    return f"""SELECT '{name}' AS run, {'fold, ' if fold else ''}entity, round(CASE WHEN tp > 0 THEN 2.0 * tp / (n_pred + n_gold) ELSE 0 END, 6) AS f1 FROM (
+ SELECT {'fold, ' if fold else ''}coalesce(type, 'ALL') AS entity, sum(g * p) AS tp, sum(p) AS n_pred, sum(g) AS n_gold FROM (
+  SELECT {by}doc_id, start, stop, type, max(g) AS g, max(p) AS p FROM (SELECT doc_id, start, stop, type, 1 AS g, 0 AS p FROM gold UNION ALL SELECT doc_id, start, stop, type, 0, 1 FROM {p}) GROUP BY ALL) GROUP BY {sets})"""
+
+
+RUNS = f"{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, scores AS ({_run_sql('a', 'pred', True)} UNION ALL {_run_sql('b', 'predb', True)})"
+POOLED = f"pooled AS ({_run_sql('a', 'pred', False)} UNION ALL {_run_sql('b', 'predb', False)})"
+DELTAS = """deltas AS (SELECT a.entity, round(avg(b.f1 - a.f1), 6) AS delta, count(*) FILTER (WHERE b.f1 > a.f1) AS wins, count(*) FILTER (WHERE b.f1 < a.f1) AS losses, count(*) AS n
+ FROM scores a JOIN scores b ON a.fold = b.fold AND a.entity = b.entity AND a.run = 'a' AND b.run = 'b' GROUP BY 1)"""
+
+
+@query(f"{RUNS} SELECT run, entity, round(avg(f1), 6) AS mean, round(stddev_samp(f1), 6) AS sigma, count(*) AS n FROM scores GROUP BY ALL")
+def fold_sigma(spark, d):
+    return gate.fold_sigma(run_scores(spark, d))
+
+
+@query(f"{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, {POOLED} SELECT entity, round(avg(f1), 6) AS mean, round(stddev_samp(f1), 6) AS sigma, count(*) AS n FROM pooled GROUP BY 1")
+def repro_sigma(spark, d):
+    return gate.fold_sigma(pooled_scores(spark, d).withColumn("run", F.lit("all"))).drop("run")
+
+
+@query(f"{RUNS}, {DELTAS} SELECT *, CASE WHEN n >= 2 THEN wins / n >= 2.0 / 3 END AS consistent FROM deltas")
+def paired_deltas(spark, d):
+    return gate.paired_deltas(run_scores(spark, d), "a", "b")
+
+
+@query(f"""{RUNS}, {DELTAS}, {POOLED}, s AS (SELECT entity, round(stddev_samp(f1), 6) AS sigma FROM scores WHERE run = 'a' GROUP BY 1),
+x AS (SELECT a.entity, b.f1 - a.f1 AS dd, sigma, CASE WHEN n >= 2 THEN wins / n >= 2.0 / 3 END AS consistent FROM pooled a JOIN pooled b ON a.entity = b.entity AND a.run = 'a' AND b.run = 'b' LEFT JOIN s ON s.entity = a.entity LEFT JOIN deltas t ON t.entity = a.entity)
+SELECT entity, round(dd, 6) AS delta, sigma, CASE WHEN sigma IS NULL THEN 'unknown_sigma' WHEN dd > 2 * sigma THEN CASE WHEN consistent = false THEN 'within_noise' ELSE 'real_gain' END WHEN dd < -2 * sigma THEN 'real_regression' ELSE 'within_noise' END AS status FROM x""")
+def gate_status(spark, d):
+    s = run_scores(spark, d)
+    return gate.entity_status(gate.fold_sigma(s), pooled_scores(spark, d), gate.paired_deltas(s, "a", "b"), "a", "b")
+
+
+SCENARIOS = [
+    ("clean_gain", True, 0, "group", True, "real_gain", False), ("noise", True, 0, "orig", True, "within_noise", False),
+    ("collateral", True, 0, "group", True, "real_gain", True), ("observed_leak", True, 3, "text", True, "real_gain", False),
+    ("unmeasured", True, None, "none", True, "real_gain", False), ("weak_zero", True, 0, "text", True, "real_gain", False),
+    ("ruler", False, 0, "group", True, "real_gain", False), ("missing_target", True, 0, "group", False, None, False),
+    ("regress", True, 0, "group", True, "real_regression", True), ("leak_and_missing", True, 2, "group", False, None, False),
+]
+_LIT = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else f"'{v}'"
+
+
+@query(f"""WITH s(name, comparable, dups, basis, target_present, target_status, collateral) AS (VALUES {', '.join('(' + ', '.join(map(_LIT, r)) + ')' for r in SCENARIOS)})
+SELECT name, CASE WHEN NOT comparable THEN 'INVALID' WHEN dups > 0 THEN 'FAIL' WHEN dups IS NULL OR basis NOT IN ('group', 'orig') THEN 'INVALID' WHEN NOT target_present THEN 'INVALID'
+ WHEN target_status = 'real_regression' OR collateral THEN 'FAIL' WHEN target_status = 'real_gain' THEN 'PASS' ELSE 'INCONCLUSIVE' END AS verdict FROM s""")
+def gate_verdict(spark, d):
+    kind = "name string, comparable boolean, dups int, basis string, target_present boolean, target_status string, collateral boolean"
+    return gate.verdict(spark.createDataFrame(SCENARIOS, kind)).select("name", "verdict")
+
+
+CUTS = {"PER": 0.6, "ORG": 0.75, "LOC": 0.9}
+
+
+@query(f"""{ANNOTATIONS_SQL.replace('pred AS (', 'allp AS (')}, pred AS (SELECT * FROM allp WHERE NOT ((type = 'PER' AND score < 0.6) OR (type = 'ORG' AND score < 0.75) OR (type = 'LOC' AND score < 0.9))), {FLAGS},
+c AS (SELECT coalesce(type, 'ALL') AS type, CAST(sum(g * p) AS BIGINT) AS tp, CAST(sum(p) AS BIGINT) AS n_pred, CAST(sum(g) AS BIGINT) AS n_gold FROM flags GROUP BY GROUPING SETS ((type), ())) SELECT *, {PRF} FROM c""")
+def threshold_apply(spark, d):
+    return metrics.at_thresholds(gold(spark, d), pred(spark, d), CUTS)
+
+
+@query(f"""{ANNOTATIONS_SQL}, s AS (SELECT doc_id, start, stop, type, max(score) AS score FROM pred GROUP BY ALL)
+SELECT type, round(quantile_cont(score, 0.1), 6) AS q10, round(quantile_cont(score, 0.5), 6) AS q50, round(quantile_cont(score, 0.98), 6) AS q98 FROM s GROUP BY type""")
+def threshold_candidates(spark, d):
+    s = pred(spark, d).groupBy("doc_id", "start", "end", "type").agg(F.max("score").alias("score"))
+    return s.groupBy("type").agg(*[F.round(F.percentile("score", F.lit(q)), 6).alias(n) for n, q in (("q10", 0.1), ("q50", 0.5), ("q98", 0.98))])
+
+
+@query(f"""{ANNOTATIONS_SQL}, s AS (SELECT p.type, p.score, g.doc_id IS NOT NULL AS hit FROM pred p LEFT JOIN gold g ON g.doc_id = p.doc_id AND g.start = p.start AND g.stop = p.stop AND g.type = p.type)
+SELECT type, cut, count(*) FILTER (WHERE score >= cut) AS n_pred, count(*) FILTER (WHERE score >= cut AND hit) AS tp FROM s, (VALUES (0.5::DOUBLE), (0.6), (0.7), (0.8), (0.9)) c(cut) GROUP BY ALL""")
+def threshold_curve(spark, d):
+    s = pred(spark, d).join(gold(spark, d).select("doc_id", "start", "end", "type", F.lit(1).alias("hit")), ["doc_id", "start", "end", "type"], "left")
+    wide = s.groupBy("type").agg(*[x for c in (0.5, 0.6, 0.7, 0.8, 0.9) for x in (F.count_if(F.col("score") >= c).alias(f"n{int(c * 10)}"), F.count_if((F.col("score") >= c) & F.col("hit").isNotNull()).alias(f"t{int(c * 10)}"))])
+    return wide.selectExpr("type", "stack(5, 0.5D, n5, t5, 0.6D, n6, t6, 0.7D, n7, t7, 0.8D, n8, t8, 0.9D, n9, t9) as (cut, n_pred, tp)")
+
+
+@query()
+def threshold_fit(spark, d):
+    cuts = metrics.fit_thresholds(gold(spark, d), pred(spark, d))
+    return spark.createDataFrame(sorted(cuts.items()), "type string, cut double")
+
+
+@query(f"""{TOKENS_SQL}, p AS (SELECT doc_id, count(*) AS n, sum(stop - start) AS chars FROM gold GROUP BY 1)
+SELECT count(*) AS n_docs, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_entities, CAST(coalesce(sum(chars), 0) AS BIGINT) AS entity_chars, round(sum(chars) / sum(length(text)), 6) AS coverage,
+ round(avg(CAST(p.doc_id IS NULL AS INTEGER)), 6) AS empty_ratio FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id""")
+def corpus_stats(spark, d):
+    return augment.corpus_stats(table(spark, d, "documents"), gold(spark, d))
+
+
+CARD = r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+
+
+def _span_sql(pattern: str) -> str:
+    # marks the matches, then adds up what lies before each
+    return f"""WITH m AS (SELECT doc_id, string_split(regexp_replace(text, '({pattern})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS parts FROM documents WHERE regexp_matches(text, '{pattern}')),
+x AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM m),
+y AS (SELECT doc_id, i, string_split(part, chr(2))[1] AS surface, sum(length(part) - CASE WHEN i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM x)
+SELECT doc_id, CAST(s AS INTEGER) AS start, CAST(s + length(surface) AS INTEGER) AS stop, surface FROM y WHERE i > 1"""
+
+
+def _spans_of(spark, d, pattern: str) -> DataFrame:
+    docs = table(spark, d, "documents").where(F.col("text").rlike(pattern))
+    return docs.select("doc_id", F.explode(tx.regex_spans(F.col("text"), pattern)).alias("x")).select("doc_id", F.col("x.s").alias("start"), F.col("x.e").alias("stop"), F.col("x.m").alias("surface"))
+
+
+@query(_span_sql(EMAIL))
+def email_spans(spark, d):
+    return _spans_of(spark, d, EMAIL)
+
+
+@query(_span_sql(CARD))
+def card_spans(spark, d):
+    return _spans_of(spark, d, CARD)
+
+
+@query()
+def harden_collisions(spark, d):
+    return augment.harden(table(spark, d, "documents"))
+
+
+@query(f"""SELECT doc_id, len(regexp_extract_all(text, '{EMAIL}')) AS n_masked, length(regexp_replace(text, '{EMAIL}', '', 'g')) + 9 * len(regexp_extract_all(text, '{EMAIL}')) AS len_masked, true AS same
+FROM documents WHERE regexp_matches(text, '{EMAIL}') AND len(regexp_extract_all(text, '{EMAIL}')) <= 10""")
+def mask_restore_identity(spark, d):
+    docs = table(spark, d, "documents").where(F.col("text").rlike(EMAIL)).withColumn("sp", tx.regex_spans(F.col("text"), EMAIL)).where(F.size("sp") <= 10)
+    m = docs.withColumn("masked", spans.mask(F.col("text"), F.col("sp"), "ab"))
+    back = spans.restore(F.col("masked"), F.transform("sp", lambda x: x["m"]), "ab")
+    return m.select("doc_id", F.size("sp").cast("long").alias("n_masked"), F.length("masked").cast("long").alias("len_masked"), (back == F.col("text")).alias("same"))
+
+
+@query("SELECT count(*) AS n_docs, 0::BIGINT AS n_bad FROM documents")
+def injected_offset_check(spark, d):
+    r = augment.inject(table(spark, d, "documents").select("doc_id", "text"), 11)
+    bad = F.exists("entities", lambda e: F.substr(F.col("text"), e["start_char"] + 1, e["end_char"] - e["start_char"]) != e["text"])
+    return r.agg(F.count("*").alias("n_docs"), F.count_if(bad).alias("n_bad"))
+
+
+@query()
+def inject_suffix(spark, d):
+    r = augment.inject(table(spark, d, "documents").select("doc_id", "text"), 11)
+    return r.select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.label", "e.start_char", "e.end_char", "e.text")
+
+
+@query("""WITH h AS (SELECT CAST('0x' || substr(md5('11|' || doc_id || '|density'), 1, 8) AS BIGINT) % 10000 AS slot FROM documents)
+SELECT CASE WHEN slot < 1000 THEN 0 WHEN slot < 5000 THEN 1 WHEN slot < 8000 THEN 2 ELSE 3 END AS n_drawn, count(*) AS n_docs FROM h GROUP BY 1""")
+def injection_density(spark, d):
+    return table(spark, d, "documents").groupBy(augment.count_drawn(11, F.col("doc_id")).alias("n_drawn")).agg(F.count("*").alias("n_docs"))
+
+
+VERIFY = f"""{ANNOTATIONS_SQL}, gr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, surface ORDER BY start) AS r FROM gold), pr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, surface ORDER BY start) AS r FROM pred),
+o AS (SELECT g.doc_id, g.start, g.type, CASE WHEN g.type = 'EVT' THEN 'exempt' WHEN p.type IS NULL THEN 'missed' WHEN p.type = g.type THEN 'confirmed' ELSE 'conflict' END AS outcome
+ FROM gr g LEFT JOIN pr p ON g.doc_id = p.doc_id AND g.surface = p.surface AND g.r = p.r)"""
+VERIFY_LABELS = ["PER", "LOC", "ORG", "PROD"]
+
+
+def outcomes(spark, d) -> DataFrame:
+    return augment.verify_outcomes(gold(spark, d), pred(spark, d), VERIFY_LABELS)
+
+
+@query(f"{VERIFY} SELECT outcome, count(*) AS n FROM o GROUP BY outcome")
+def verify_outcomes(spark, d):
+    return outcomes(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query(f"{VERIFY} SELECT type, count(*) FILTER (WHERE outcome = 'confirmed') AS confirmed, count(*) FILTER (WHERE outcome = 'conflict') AS conflict, count(*) FILTER (WHERE outcome = 'missed') AS missed, count(*) FILTER (WHERE outcome = 'exempt') AS exempt FROM o GROUP BY type")
+def verify_report(spark, d):
+    return outcomes(spark, d).groupBy("type").agg(*[F.count_if(F.col("outcome") == x).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")])
+
+
+@query(f"""{VERIFY} SELECT 'keep_all' AS policy, count(*) AS n FROM o UNION ALL SELECT 'drop_span', count(*) FROM o WHERE outcome NOT IN ('missed', 'conflict')
+UNION ALL SELECT 'drop_record', count(*) FROM o WHERE doc_id NOT IN (SELECT doc_id FROM o WHERE outcome IN ('missed', 'conflict'))""")
+def verify_policy_kept(spark, d):
+    o = outcomes(spark, d)
+    parts = [augment.apply_policy(o, p).agg(F.lit(p).alias("policy"), F.count("*").alias("n")) for p in ("keep_all", "drop_span", "drop_record")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+LANG_CASES = [("plain english", "en"), ("日本語です", "ja"), ("カタカナ", "ja"), ("한국어 문장", "ko"), ("tiếng Việt", "vi"), ("đây", "vi"), ("漢字", "unsupported"), ("café", "en"), ("", "unsupported"), ("123 !?", "unsupported"), ("한글 と", "ja"), ("a × b", "en")]
+
+
+@query("SELECT lang, CASE WHEN regexp_matches(text, '[A-Za-z]') THEN 'en' ELSE 'unsupported' END AS detected, count(*) AS n FROM documents GROUP BY ALL")
+def detect_lang(spark, d):
+    return table(spark, d, "documents").groupBy("lang", tx.detect_lang(F.col("text")).alias("detected")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{x}')" for t, x in LANG_CASES) + ") v(text, detected)")
+def detect_literals(spark, d):
+    return spark.createDataFrame([(t,) for t, _ in LANG_CASES], "text string").select("text", tx.detect_lang(F.col("text")).alias("detected"))
+
+
+@query("""SELECT role, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(list_filter(string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: length(trim(x)) >= 10))) AS BIGINT) AS n_long FROM conversations GROUP BY role""")
+def sentence_stats(spark, d):
+    parts = F.filter(F.split("text", r"(?<=[.!?])\s+"), lambda x: F.length(F.trim(x)) >= 10)
+    return table(spark, d, "conversations").groupBy("role").agg(F.count("*").alias("n_turns"), F.sum(F.length("text")).alias("chars"), F.sum(F.size(parts).cast("long")).alias("n_long"))
+
+
+@query()
+def sentences(spark, d):
+    return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence"))
+
+
+@query("SELECT doc_id, length(text) AS chars, true AS tiles FROM documents")
+def chunk_tiling(spark, d):
+    c = table(spark, d, "documents").withColumn("c", serving.chunks(F.col("text"), 100))
+    whole = F.array_join(F.transform("c", lambda x: x["chunk"]), "") == F.col("text")
+    placed = F.forall("c", lambda x: F.substr(F.col("text"), x["base"] + 1, F.length(x["chunk"])) == x["chunk"])
+    return c.select("doc_id", F.length("text").cast("long").alias("chars"), (whole & placed).alias("tiles"))
+
+
+ANSWERS = [
+    (1, '[{"text":"Ann","type":"PER"},{"text":"Rome","type":"LOC"}]', 2), (2, '{"text":"Ann","type":"PER"}', 1), (3, '{"spans":[{"text":"Ann","type":"PER"}]}', 1),
+    (4, '<think>hm [1]</think>[{"text":"Ann","type":"PER"}]', 1), (5, 'Sure: [{"text":"Ann","type":"PER"}] done', 1), (6, "nothing here", 0), (7, "", 0), (8, '```json\n[{"text":"Ann","type":"PER"}]\n```', 1), (9, '[{"text":"Ann"}]', 0),
+]
+
+
+@query("SELECT id::INTEGER AS id, n::INTEGER AS n FROM (VALUES " + ", ".join(f"({i}, {n})" for i, _, n in ANSWERS) + ") v(id, n)")
+def parse_llm_json(spark, d):
+    return spark.createDataFrame([(i, r) for i, r, _ in ANSWERS], "id int, raw string").select("id", F.size(tx.parse_spans(F.col("raw"))).alias("n"))
+
+
+TAGS = [("ko", "B-PS", "B-PER"), ("ko", "O", "O"), ("en", "I-og", "I-ORG"), ("ja", "B-PER", "B-PS"), ("vi", "I-PERSON", "I-PER"), ("vi", "B-XYZ", "B-XYZ"), ("ko", "", "O")]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in TAGS) + ") v(lang, tag, normal)")
+def tag_normalise(spark, d):
+    return spark.createDataFrame([(a, b) for a, b, _ in TAGS], "lang string, tag string").withColumn("normal", tx.normalize_tag(F.col("tag"), F.col("lang")))
+
+
+@query(f"{TOKENS_SQL} SELECT CASE type WHEN 'PROD' THEN 'ORG' WHEN 'EVT' THEN 'LOC' ELSE type END AS label, count(*) AS n FROM gold GROUP BY 1")
+def label_merge(spark, d):
+    return gold(spark, d).groupBy(tx.merge_label(F.col("type"), {"PROD": "ORG", "EVT": "LOC"}).alias("label")).agg(F.count("*").alias("n"))
+
+
+FREQUENT = "freq AS (SELECT surface FROM gold GROUP BY 1 HAVING count(*) >= 3)"
+
+
+def _dictionary(spark, d) -> DataFrame:
+    return gold(spark, d).groupBy("surface").agg(F.count("*").alias("n")).where("n >= 3").select("surface")
+
+
+@query(f"{TOKENS_SQL}, {FREQUENT} SELECT word AS surface, count(*) AS n FROM toks WHERE word IN (SELECT surface FROM freq) GROUP BY 1")
+def dictionary_mentions(spark, d):
+    return audit.mentions(toks(spark, d), _dictionary(spark, d)).groupBy("surface").agg(F.count("*").alias("n"))
+
+
+MISSING = """lost AS (SELECT t.doc_id, t.start, t.start + length(t.word) AS stop, t.word AS surface FROM toks t WHERE t.word IN (SELECT surface FROM freq)
+ AND NOT EXISTS (SELECT 1 FROM pred p WHERE p.doc_id = t.doc_id AND p.start < t.start + length(t.word) AND t.start < p.stop))"""
+
+
+@query(f"{ANNOTATIONS_SQL}, {FREQUENT}, {MISSING} SELECT * FROM lost")
+def unlabeled_mentions(spark, d):
+    return audit.uncovered(audit.mentions(toks(spark, d), _dictionary(spark, d)), pred(spark, d)).withColumnRenamed("end", "stop")
+
+
+@query(f"{ANNOTATIONS_SQL}, {FREQUENT}, {MISSING} SELECT * FROM lost WHERE doc_id % 3 <> 0")
+def ledger_exclusion(spark, d):
+    lost = audit.uncovered(audit.mentions(toks(spark, d), _dictionary(spark, d)), pred(spark, d))
+    ledger = lost.where("doc_id % 3 = 0").select("doc_id", "start", "end", F.lit("NOT").alias("verdict"))
+    return audit.exclude_judged(lost, ledger).withColumnRenamed("end", "stop")
+
+
+@query(f"""{TOKENS_SQL}, {FREQUENT}, s AS (SELECT DISTINCT surface FROM gold), t AS (SELECT s.surface, f.surface AS target, row_number() OVER (PARTITION BY s.surface ORDER BY length(f.surface) DESC) AS r FROM s JOIN freq f ON starts_with(s.surface, f.surface) AND s.surface <> f.surface)
+SELECT g.surface, target, count(*) AS n FROM gold g JOIN t ON g.surface = t.surface AND r = 1 GROUP BY ALL""")
+def trim_targets(spark, d):
+    return audit.trim_targets(gold(spark, d), _dictionary(spark, d)).groupBy("surface", "target").agg(F.count("*").alias("n"))
+
+
+STATUS = "CASE WHEN event_type = 'error' THEN 500 WHEN value IS NULL OR value < 0 THEN 400 ELSE 200 END"
+
+
+@query(f"SELECT date_trunc('day', ts) AS day, event_type, {STATUS} AS status, count(*) AS n FROM events GROUP BY ALL")
+def request_log_summary(spark, d):
+    return table(spark, d, "events").groupBy(F.date_trunc("day", "ts").alias("day"), "event_type", F.expr(STATUS).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, round(quantile_disc(value, 0.5), 6) AS p50, round(quantile_disc(value, 0.95), 6) AS p95, round(max(value), 6) AS longest, count(*) AS n FROM events GROUP BY 1")
+def latency_percentiles(spark, d):
+    e = table(spark, d, "events")
+    disc = lambda q: F.round(F.expr(f"percentile_disc({q}) within group (order by value)"), 6)
+    return e.groupBy("event_type").agg(disc(0.5).alias("p50"), disc(0.95).alias("p95"), F.round(F.max("value"), 6).alias("longest"), F.count("*").alias("n"))
+
+
+SWEEP = """iv AS (SELECT date_trunc('day', ts) AS day, epoch_us(ts) AS s, epoch_us(ts) + CAST(floor(abs(value)) AS BIGINT) * 60000000 AS e FROM events),
+mk AS (SELECT day, s AS t, 1 AS d FROM iv UNION ALL SELECT day, e, -1 FROM iv), st AS (SELECT day, t, d, sum(d) AS s FROM mk GROUP BY ALL)"""
+
+
+@query(f"WITH {SWEEP} SELECT day, CAST(max(o) AS BIGINT) AS peak FROM (SELECT day, sum(s) OVER (PARTITION BY day ORDER BY t, d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS o FROM st) GROUP BY day")
+def inflight_sweep(spark, d):
+    e = table(spark, d, "events").select(F.date_trunc("day", "ts").alias("day"), F.unix_micros(F.col("ts").cast("timestamp")).alias("s"), "value")
+    return serving.in_flight(e.withColumn("e", F.col("s") + F.floor(F.abs("value")) * 60_000_000), "day", "s", "e")
+
+
+REQUESTS = [(1, "hi", None, None, 200), (2, None, ["a", "b"], "en", 200), (3, "hi", ["a"], None, 400), (4, None, None, None, 400), (5, "hi", None, "xx", 400), (6, "x" * 20_001, None, None, 413), (7, None, ["a"] * 65, None, 413), (8, None, [], None, 400), (9, None, ["y" * 20_000] * 6, "ko", 413)]
+
+
+@query("SELECT id::INTEGER AS id, status::INTEGER AS status FROM (VALUES " + ", ".join(f"({r[0]}, {r[-1]})" for r in REQUESTS) + ") v(id, status)")
+def request_validation(spark, d):
+    return serving.validate(spark.createDataFrame([r[:4] for r in REQUESTS], "id int, text string, texts array<string>, lang string")).select("id", "status")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS item_idx, lang FROM documents")
+def batch_by_lang_order(spark, d):
+    return table(spark, d, "documents").select("doc_id", (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).cast("long").alias("item_idx"), "lang")
+
+
+@query(f"""{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, {annotation_sql(12, 'predc')}, x AS ({_run_sql('m20', 'pred', False)} UNION ALL {_run_sql('m25', 'predb', False)} UNION ALL {_run_sql('m12', 'predc', False)})
+SELECT run AS model, f1 FROM x WHERE entity = 'ALL'""")
+def llm_bench_table(spark, d):
+    g = gold(spark, d)
+    parts = [metrics.strict(g, pred(spark, d, m)).where("type = 'ALL'").select(F.lit(f"m{m}").alias("model"), "f1") for m in (20, 25, 12)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT date_trunc('hour', ts) AS begin, event_type, count(*) AS n FROM events GROUP BY ALL")
+def streaming_windows(spark, d):
+    """The watermarked window counts of the stream, as a batch over the same rows."""
+    w = streams.windowed_counts(table(spark, d, "events"))
+    return w.select(F.col("window.start").alias("begin"), "event_type", "n")
+
+
+def queries() -> dict:
+    return dict(Q)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
