@@ -9,10 +9,11 @@ so registers agree with the probability Jaccard similarity.  ``BANDS`` bands of
 probability over 0.9999).
 
 Texts of equal words are one node from the start.  In each bucket every node is
-verified against the bucket's smallest node; nodes that are not yet in that
-node's component meet again under a leader of their own, until each bucket is
-used up, so no bucket's pairs are all emitted and none is cut short.  A link
-needs a similarity of 0.8 or more, of the weighted or of the plain sets.
+compared with the bucket's smallest node; components that are still apart meet
+under up to ``SLOTS`` leaders a round, which then leave, until each bucket is
+used up, so no bucket's pairs are all emitted and none is cut short.  Pairs whose
+registers agree too rarely end there; the others are verified on their whole
+texts: a link needs a similarity of 0.8 or more, of the weighted or the plain sets.
 Components are found by star rounds, each cut by a reliable checkpoint.
 
 Defined cases: a text of one to four words is one shingle; texts without a word
@@ -27,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import Words, bounded_batches, map_texts, mix, texts_of, windows
-from .shared import components, cut
+from .shared import Table, components
 from .substrings import B1, B2, run_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 25, 5
+BANDS, ROWS = 32, 8
+SLOTS = 256  #: leaders of a bucket in one round
+LIKELY = 0.68  #: estimated similarity under which a pair is not verified, over four deviations below 0.8
 REGISTERS = BANDS * ROWS
 BAND_COLUMNS = [f"b{i}" for i in range(BANDS)]
 
@@ -73,11 +76,8 @@ def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, texts: i
 
 
 def band_keys(kept: np.ndarray) -> np.ndarray:
-    key = np.zeros((len(kept), BANDS), np.uint64)
-    with np.errstate(over="ignore"):
-        for r in range(ROWS):
-            key = mix(key * np.uint64(0xD6E8FEB86659FD93) + kept[:, r::ROWS][:, :BANDS] + np.uint64(r + 1))
-    return key
+    """One value per band: a byte of each of its registers."""
+    return np.ascontiguousarray((mix(kept) >> np.uint64(56)).astype(np.uint8)).view(np.uint64)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
@@ -115,6 +115,21 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_texts(docs, work, "doc_id long, d1 long, d2 long, n_words long, " + ", ".join(f"{b} long" for b in BAND_COLUMNS))
 
 
+def likely(pairs: DataFrame, nodes: DataFrame, least: float = LIKELY) -> DataFrame:
+    """The pairs (a, b) whose registers agree often enough."""
+    side = lambda name: nodes.select(F.col("node").alias(name), F.array(*BAND_COLUMNS).alias(f"k{name}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ka", "kb")
+    bounded_batches(pairs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            x, y = (batch.column(i).flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), REGISTERS) for i in (2, 3))
+            keep = pa.array(((x == y).mean(axis=1) - 1 / 256) * 256 / 255 >= least)
+            yield batch.select(["a", "b"]).filter(keep)
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) whose texts (node, text) are similar enough, with both similarities."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
@@ -145,42 +160,50 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of its class), n_words."""
-    sketched = cut(sketch(docs))
+    sketched = Table(sketch(docs)).df
     known = sketched.where("doc_id is not null and n_words > 0")
-    nodes = cut(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), *[F.min(b).alias(b) for b in BAND_COLUMNS]))
+    nodes = Table(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), *[F.min(b).alias(b) for b in BAND_COLUMNS])).df
     # rows of one doc_id are one document
-    same = known.join(nodes.select("d1", "d2", "node"), ["d1", "d2"]).where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    repeated = known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("a"))
-    same = same.join(repeated, "a", "left_semi")
+    repeated = Table(known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
     bands = nodes.select("node", F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "key"))
     full = bands.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    seats = cut(bands.join(full, ["band", "key"]).select("band", "key", "node", "leader"))
-    wanted = seats.select("node").distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text", F.length("text").alias("_n")).join(wanted, "node", "left_semi")
-    texts = cut(texts.groupBy("node").agg(F.max_by("text", "_n").alias("text"))) if not repeated.isEmpty() else cut(texts.select("node", "text"))
-    nearest = seats.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b"))
-    links = cut(verify(nearest, texts, threshold).select("a", "b").union(same))
+    seats = Table(bands.join(full, ["band", "key"]).select("band", "key", "node", "leader"))
+    wanted = seats.df.select("node").distinct()
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    if repeated.n:
+        texts = texts.groupBy("node").agg(F.max_by("text", F.length("text")).alias("text"))
+    texts = Table(texts).df
+    nearest = seats.df.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b"))
+    links = verify(likely(nearest, nodes), texts, threshold).select("a", "b")
+    if repeated.n:
+        twice = known.join(repeated.df, "doc_id", "left_semi").join(nodes.select("d1", "d2", "node"), ["d1", "d2"])
+        links = links.union(twice.where("doc_id <> node").select("doc_id", "node"))
     roots = components(links)
+    held = seats.df.select("band", "key", "node").join(roots.df, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("r"))
     while True:
-        # seats by component; those of the leader's component leave, the others verify against it
-        placed = (
-            seats.join(roots.withColumnRenamed("root", "r"), "node", "left")
-            .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("lr")), "leader", "left")
-            .select("band", "key", "node", "leader", F.coalesce("r", "node").alias("r"), F.coalesce("lr", "leader").alias("lr"))
-            .where("r <> lr")
-        )
-        placed = cut(placed)
-        if placed.isEmpty():
+        # buckets of one component are done; in the others each slot's smallest node leads
+        open_ = held.groupBy("band", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("band", "key")
+        left = Table(held.join(open_, ["band", "key"]).withColumn("slot", F.pmod(F.xxhash64("r", "key"), F.lit(SLOTS))))
+        if not left.n:
             break
-        more = verify(placed.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), texts, threshold).select("a", "b")
-        links = cut(links.union(more))
-        roots = components(links)
-        rest = placed.select("band", "key", "node")
-        again = rest.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-        seats = cut(rest.join(again, ["band", "key"]).select("band", "key", "node", "leader"))
+        lead = left.df.groupBy("band", "key", "slot").agg(F.min(F.struct("node", "r")).alias("x")).select("band", "key", F.col("x.node").alias("leader"), F.col("x.r").alias("lr"))
+        met = left.df.join(lead, ["band", "key"]).where("r <> lr")
+        pairs = Table(met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct())
+        found = Table(verify(likely(pairs.df, nodes), texts, threshold).select("a", "b")).df
+        of = left.df.select("node", "r").distinct()
+        apart = found.join(of.toDF("a", "ra"), "a").join(of.toDF("b", "rb"), "b")
+        # only components are linked from here on
+        merged = components(apart.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        if merged.n:
+            known_roots = roots.df.join(merged.df.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+            new = merged.df.join(roots.df.select("node"), "node", "left_anti").select("node", "root")
+            roots = Table(known_roots.union(new))
+        # the components of the leaders have met every other one of their bucket
+        rest = left.df.join(lead.select("band", "key", F.col("lr").alias("r")).distinct(), ["band", "key", "r"], "left_anti")
+        held = rest.join(merged.df.toDF("r", "top"), "r", "left").select("band", "key", "node", F.coalesce("top", "r").alias("r"))
     ids = sketched.select("doc_id", "d1", "d2", "n_words")
     named = ids.join(nodes.select("d1", "d2", "node"), ["d1", "d2"], "left").select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("node")).alias("node"))
-    return named.join(roots, "node", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("class_id"), "n_words")
+    return named.join(roots.df, "node", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("class_id"), "n_words")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

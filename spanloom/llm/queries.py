@@ -59,5 +59,14 @@ def queries() -> dict:
     }
 
 
+OP10_SQL = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+k AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM k) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS i FROM r, range(20) t(o)),
+x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) FILTER (WHERE g.i IS NULL) AS t, count(g.i) AS n FROM x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.i = g.i GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_substrings": OP10_SQL}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -13,40 +15,57 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+class Table:
+    """Rows written once to the shared folder: ``df`` reads them, ``n`` and ``digest`` were taken while writing."""
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.path = f"{shared_folder(self.spark)}/{uuid.uuid4().hex}"
+        seen = Observation()
+        kept = [c for c, kind in df.dtypes if kind in ("bigint", "int", "boolean")]
+        mark = F.sum(F.shiftright(F.xxhash64(*[F.col(c) for c in kept] or [F.lit(0)]), 24))
+        df.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")).write.parquet(self.path)
+        got = seen.get
+        self.n, self.digest = got["n"], (got["n"], got["mark"])
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        """Remove the files; only once nothing will read them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read from a reliable checkpoint."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The same rows, read from a table in the shared folder."""
+    return Table(df).df
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60) -> Table:
     """Connected components of edges (a, b): one row (node, root) per node, root the smallest node.
 
-    Large-star and small-star rounds in turn; each round is one shuffle by node,
-    and a node's links are aggregated before they are dealt.  Rounds end when the
-    links no longer change.
+    Large-star and small-star rounds in turn; each round is dealt by node, and a
+    node's links are aggregated before they are dealt.  Rounds end when the links
+    no longer change.
     """
-    from pyspark.sql import functions as F
-
-    links = edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct()
-    links = cut(links)
-    if links.isEmpty():
-        return links.select(F.col("v").alias("node"), F.col("u").alias("root"))
-    mark = None
+    links = Table(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
     for _ in range(rounds):
+        if not links.n:
+            break
         # large star: each node links its larger neighbours to its smallest neighbour (or itself)
-        both = links.select(F.col("v").alias("x"), F.col("u").alias("y")).union(links.select("u", "v"))
+        both = links.df.union(links.df.select("u", "v")).toDF("x", "y")
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u")).where("v <> u").distinct()
+        large = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
         # small star: each node links itself and its smaller neighbours to the smallest of them
         low = large.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("m"))
-        small = large.select(F.col("v").alias("x"), F.col("u").alias("y")).join(low, "x")
-        links = small.select(F.col("y").alias("v"), F.col("m").alias("u")).where("v <> u").union(low.select(F.col("x").alias("v"), F.col("m").alias("u"))).distinct()
-        links = cut(links)
-        now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first())
-        if now == mark:
+        small = large.toDF("x", "y").join(low, "x")
+        pairs = F.explode(F.array(F.struct(F.col("y").alias("v"), F.col("m").alias("u")), F.struct(F.col("x").alias("v"), F.col("m").alias("u")))).alias("p")
+        now = Table(small.select(pairs).select("p.v", "p.u").where("v <> u").distinct())
+        links.drop()
+        done, links = now.digest == links.digest, now
+        if done:
             break
-        mark = now
     else:
         raise RuntimeError("components did not settle")
-    return links.select(F.col("v").alias("node"), F.col("u").alias("root")).union(links.select("u", "u").distinct())
+    found = Table(links.df.toDF("node", "root").union(links.df.select("u", "u").distinct()))
+    links.drop()
+    return found

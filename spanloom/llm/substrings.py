@@ -33,7 +33,7 @@ from .bpe import _pack, _unpack
 
 K, M = 20, 3
 SLICE = 4 << 20
-SUB_BUCKETS = 16  #: for each shuffle partition
+SUB_BUCKETS = 8  #: for each shuffle partition
 HOT_SHARE, SAMPLE_DIVISOR = 1 / 2000, 64
 B1, B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")

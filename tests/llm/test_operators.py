@@ -276,7 +276,7 @@ def test_components(spark):
     from spanloom.llm.shared import components
 
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 120)] + [(7, 7), (200, 201)]
-    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).df.collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 120)}, 200: 200, 201: 200}
 
 
