@@ -184,10 +184,11 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None) ->
             order = np.argsort(home, kind="stable")
             cuts = np.searchsorted(home[order], np.arange(buckets + 1))
             for k in range(buckets):
-                mine = sorted(order[cuts[k] : cuts[k + 1]].tolist(), key=raw.__getitem__)
-                if mine:
-                    lengths = np.array([len(raw[i]) for i in mine], "<u4")
-                    yield base + n, k, _pack(b"".join(raw[i] for i in mine), *_planes(lengths), *_planes(np.array(mine)))
+                mine = order[cuts[k] : cuts[k + 1]]  # ascending numbers: their steps are small
+                if len(mine):
+                    own = [raw[i] for i in mine.tolist()]
+                    lengths = np.fromiter(map(len, own), "<u4", len(own))
+                    yield base + n, k, _pack(b"".join(own), *_planes(lengths), *_planes(np.diff(mine, prepend=0)))
             held, n = [], n + 1
 
         size = 0
@@ -257,7 +258,7 @@ def encode(docs: DataFrame, path: str | None = None, pat: str | None = None) ->
                     layout = blob
                     continue
                 parts = _unpack(blob)
-                values, sizes, codes = _values(parts[:4]).tolist(), _values(parts[4:8]).tolist(), _values(parts[8:]).tolist()
+                values, sizes, codes = _values(parts[:4]).tolist(), _values(parts[4:8]).tolist(), np.cumsum(_values(parts[8:])).tolist()
                 p, table = 0, encoder.table
                 for code, n in zip(codes, sizes):
                     mine = values[p : p + n]
