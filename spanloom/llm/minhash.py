@@ -9,7 +9,7 @@ so registers agree with the probability Jaccard similarity.  ``BANDS`` bands of
 probability over 0.9999).
 
 Texts of equal words are one node from the start.  In each bucket every node is
-compared with the bucket's smallest node; components that are still apart meet
+compared with the most central one of its buckets' leaders; components that are still apart meet
 under up to ``SLOTS`` leaders a round, which then leave, until each bucket is
 used up, so no bucket's pairs are all emitted and none is cut short.  Pairs whose
 registers agree too rarely end there; the others are verified on their whole
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import Words, bounded_batches, map_texts, mix, texts_of, windows
-from .shared import Table, components
+from .shared import Table, among, components
 from .substrings import B1, B2, run_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -166,27 +166,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # rows of one doc_id are one document
     repeated = Table(known.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
     bands = nodes.select("node", F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "key"))
-    full = bands.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    seats = Table(bands.join(full, ["band", "key"]).select("band", "key", "node", "leader"))
-    wanted = seats.df.select("node").distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    full = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    seated = Table(bands.join(full, ["band", "key"]).select("band", "key", "node", "n"))
+    # the node with most neighbours in its buckets, ties to the smallest, is the likeliest centre of a group
+    wanted = Table(seated.df.groupBy("node").agg(F.sum("n").alias("w")))
+    seats = Table(seated.df.join(wanted.df, "node").select("band", "key", "node", "w"))
+    texts = among(docs.select(F.col("doc_id").alias("node"), "text"), wanted.df.select("node"))
     if repeated.n:
         texts = texts.groupBy("node").agg(F.max_by("text", F.length("text")).alias("text"))
     texts = Table(texts).df
-    nearest = seats.df.where("node <> leader").groupBy(F.col("node").alias("a")).agg(F.min("leader").alias("b"))
+    rank = F.struct("w", (-F.col("node")).alias("m"))
+    leaders = seats.df.groupBy("band", "key").agg(F.max(rank).alias("lead"))
+    nearest = seats.df.join(leaders, ["band", "key"]).groupBy(F.col("node").alias("a")).agg((-F.max("lead")["m"]).alias("b")).where("a <> b")
     links = verify(likely(nearest, nodes), texts, threshold).select("a", "b")
     if repeated.n:
         twice = known.join(repeated.df, "doc_id", "left_semi").join(nodes.select("d1", "d2", "node"), ["d1", "d2"])
         links = links.union(twice.where("doc_id <> node").select("doc_id", "node"))
     roots = components(links)
-    held = seats.df.select("band", "key", "node").join(roots.df, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("r"))
+    held = seats.df.join(roots.df, "node", "left").select("band", "key", "node", "w", F.coalesce("root", "node").alias("r"))
     while True:
-        # buckets of one component are done; in the others each slot's smallest node leads
+        # buckets of one component are done; in the others each slot's most central node leads
         open_ = held.groupBy("band", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("band", "key")
         left = Table(held.join(open_, ["band", "key"]).withColumn("slot", F.pmod(F.xxhash64("r", "key"), F.lit(SLOTS))))
         if not left.n:
             break
-        lead = left.df.groupBy("band", "key", "slot").agg(F.min(F.struct("node", "r")).alias("x")).select("band", "key", F.col("x.node").alias("leader"), F.col("x.r").alias("lr"))
+        lead = left.df.groupBy("band", "key", "slot").agg(F.max(F.struct(rank.alias("c"), "r")).alias("x")).select("band", "key", (-F.col("x.c.m")).alias("leader"), F.col("x.r").alias("lr"))
         met = left.df.join(lead, ["band", "key"]).where("r <> lr")
         pairs = Table(met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct())
         found = Table(verify(likely(pairs.df, nodes), texts, threshold).select("a", "b")).df
@@ -200,7 +204,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             roots = Table(known_roots.union(new))
         # the components of the leaders have met every other one of their bucket
         rest = left.df.join(lead.select("band", "key", F.col("lr").alias("r")).distinct(), ["band", "key", "r"], "left_anti")
-        held = rest.join(merged.df.toDF("r", "top"), "r", "left").select("band", "key", "node", F.coalesce("top", "r").alias("r"))
+        held = rest.join(merged.df.toDF("r", "top"), "r", "left").select("band", "key", "node", "w", F.coalesce("top", "r").alias("r"))
     ids = sketched.select("doc_id", "d1", "d2", "n_words")
     named = ids.join(nodes.select("d1", "d2", "node"), ["d1", "d2"], "left").select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("node")).alias("node"))
     return named.join(roots.df, "node", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id")).alias("class_id"), "n_words")

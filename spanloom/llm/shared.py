@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+FILTER_BITS = 1 << 26  #: bits of the key filter: 8 MB
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; one of our own only where none is set."""
@@ -40,6 +42,22 @@ def cut(df: DataFrame) -> DataFrame:
     return Table(df).df
 
 
+def among(rows: DataFrame, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose key (the only column of ``wanted``) is wanted.
+
+    A bitmap of hashed keys, of ``bits`` bits at every size, is broadcast and
+    holds back most other rows before they are dealt; an exact join follows.
+    """
+    key = wanted.columns[0]
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    of = lambda df: df.withColumn("_sl_at", place)
+    maps = of(wanted).groupBy(F.bitmap_bucket_number("_sl_at").alias("_sl_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_sl_at")).alias("_sl_bits"))
+    met = of(rows).withColumn("_sl_part", F.bitmap_bucket_number("_sl_at")).join(F.broadcast(maps), "_sl_part")
+    byte = F.expr("cast(conv(hex(substring(_sl_bits, cast(bitmap_bit_position(_sl_at) div 8 as int) + 1, 1)), 16, 10) as int)")
+    on = byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_sl_at) % 8 as int))")) != 0
+    return met.where(on).select(*rows.columns).join(wanted, key, "left_semi")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> Table:
     """Connected components of edges (a, b): one row (node, root) per node, root the smallest node.
 
