@@ -332,3 +332,14 @@ def test_pipeline(spark, sf_dir):
     total = sum(r["length"] for r in corpus_pipeline.pack(spark, clean, sf_dir).collect())
     assert total > 0
     assert corpus_pipeline.run(spark, sf_dir).agg(F.sum("length")).first()[0] == total
+
+
+def test_among_keeps_exactly_the_wanted(spark):
+    from spanloom.llm.shared import among
+
+    rows = spark.createDataFrame([(i if i % 11 else None, f"t{i}") for i in range(500)] + [(7, "again")], "node long, text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 1000, 7)], "node long")
+    for bits in (1, 1 << 16, 1 << 26):  # a full map lets all rows through, the join stays exact
+        got = sorted((r[0], r[1]) for r in among(rows, wanted, bits).collect())
+        assert got == sorted([(i, f"t{i}") for i in range(500) if i % 11 and i % 7 == 0] + [(7, "again")])
+    assert among(rows, wanted.limit(0)).count() == 0
