@@ -11,8 +11,9 @@ probability over 0.9999).
 Texts of equal words are one node from the start.  In each bucket every node is
 compared with the most central one of its buckets' leaders; components that are still apart meet
 under up to ``SLOTS`` leaders a round, which then leave, until each bucket is
-used up, so no bucket's pairs are all emitted and none is cut short.  Pairs whose
-registers agree too rarely end there; the others are verified on their whole
+used up, so no bucket's pairs are all emitted and none is cut short.  Registers
+are compared where a bucket's nodes stand, by its bands' registers and then by
+``FINE`` more; pairs that agree too rarely end there, and the others are verified on their whole
 texts: a link needs a similarity of 0.8 or more, of the weighted or the plain sets.
 Components are found by star rounds, each cut by a reliable checkpoint.
 
@@ -35,6 +36,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 8
 SLOTS = 256  #: leaders of a bucket in one round
 LIKELY = 0.68  #: estimated similarity under which a pair is not verified, over four deviations below 0.8
+FINE, FINE_LIKELY = 1024, 0.75  #: registers of the second estimate, and the same for it: four deviations below 0.8
+MEETINGS, PART = 1 << 15, 4096  #: pairs compared at a time; seats of a bucket in one place
 REGISTERS = BANDS * ROWS
 BAND_COLUMNS = [f"b{i}" for i in range(BANDS)]
 
@@ -115,6 +118,28 @@ def sketch(docs: DataFrame) -> DataFrame:
     return map_texts(docs, work, "doc_id long, d1 long, d2 long, n_words long, " + ", ".join(f"{b} long" for b in BAND_COLUMNS))
 
 
+def fine_sketch(texts: DataFrame) -> DataFrame:
+    """Per node ``FINE`` one-byte registers of the weighted set, then of the plain set (null where both sets are the same)."""
+
+    def work(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        words = Words(texts)
+        of, element, count = shingles(words, words.hashes(1))
+        weighted = band_keys(signatures(of, element, 1 + np.log(count), len(texts), FINE)).view(np.uint8)
+        many = np.unique(of[count > 1])
+        at = np.isin(of, many)
+        plain = [None] * len(texts)
+        for i, kept in zip(many, band_keys(signatures(np.searchsorted(many, of[at]), element[at], np.ones(at.sum()), len(many), FINE)).view(np.uint8)):
+            plain[i] = kept.tobytes()
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array([x.tobytes() for x in weighted], pa.binary()), pa.array(plain, pa.binary())], ["node", "fine", "plain"])
+
+    return map_texts(texts, work, "node long, fine binary, plain binary", ("node", "text"))
+
+
+def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimated similarity: the share of equal registers, less what equal bytes give by chance."""
+    return ((x == y).mean(axis=1) - 1 / 256) * 256 / 255
+
+
 def likely(pairs: DataFrame, nodes: DataFrame, least: float = LIKELY) -> DataFrame:
     """The pairs (a, b) whose registers agree often enough."""
     side = lambda name: nodes.select(F.col("node").alias(name), F.array(*BAND_COLUMNS).alias(f"k{name}"))
@@ -124,12 +149,58 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float = LIKELY) -> DataFra
     def run(batches):
         for batch in batches:
             x, y = (batch.column(i).flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), REGISTERS) for i in (2, 3))
-            keep = pa.array(((x == y).mean(axis=1) - 1 / 256) * 256 / 255 >= least)
+            keep = pa.array(agreement(x, y) >= least)
             yield batch.select(["a", "b"]).filter(keep)
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def meet(seats: DataFrame, lead: DataFrame, nodes: DataFrame, least: float = LIKELY, fine_least: float = FINE_LIKELY) -> DataFrame:
+    """The pairs (a, b) of a seat and a leader of its bucket, of different components, whose registers agree often enough.
+
+    ``seats`` is (band, key, node, r, parts), ``lead`` (band, key, leader, lr, parts),
+    ``nodes`` (node, k, fine, plain).  A bucket's seats are dealt to ``parts``
+    places, each of which gets its leaders (at most ``SLOTS``) first; registers are
+    compared there, and only the pairs that agree are made rows.
+    """
+    here = seats.select("band", "key", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.lit(0).alias("seat"), "node", "r")
+    places = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    here = here.union(lead.select("band", "key", places, F.lit(-1).alias("seat"), F.col("leader").alias("node"), F.col("lr").alias("r")))
+    dealt = here.join(nodes, "node").select("band", "key", "part", "seat", "node", "r", "k", "fine", F.coalesce("plain", "fine").alias("plain"))
+    dealt = dealt.repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "seat")
+    bounded_batches(seats.sparkSession)
+
+    def run(batches):
+        kept = None  # the leaders of the bucket that the last batch ended in
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = [batch.column(i).to_numpy() for i in range(6)]
+            x.append(batch.column(6).flatten().to_numpy(zero_copy_only=False).view(np.uint8).reshape(len(batch), REGISTERS))
+            x += [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(len(batch), FINE) for i in (7, 8)]
+            if kept is not None:
+                x = [np.concatenate(c) for c in zip(kept, x)]
+            band, key, part, seat, node, r, coarse, fine, plain = x
+            new = np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1]) | (part[1:] != part[:-1])]
+            of, start = np.cumsum(new) - 1, np.flatnonzero(new)
+            leaders = np.bincount(of[seat < 0], minlength=len(start))
+            kept = [c[start[-1] : start[-1] + leaders[-1]].copy() for c in x]
+            at = np.flatnonzero(seat == 0)
+            done = np.cumsum(leaders[of[at]])
+            for few in np.split(at, np.searchsorted(done, np.arange(MEETINGS, done[-1] if len(done) else 0, MEETINGS))):
+                n = leaders[of[few]]
+                i = np.repeat(few, n)
+                j = np.repeat(start[of[few]] - (np.cumsum(n) - n), n) + np.arange(len(i))
+                near = np.flatnonzero(r[i] != r[j])
+                near = near[agreement(coarse[i[near]], coarse[j[near]]) >= least]
+                i, j = i[near], j[near]
+                near = np.maximum(agreement(fine[i], fine[j]), agreement(plain[i], plain[j])) >= fine_least
+                a, b = node[i[near]], node[j[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) whose texts (node, text) are similar enough, with both similarities."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
@@ -183,17 +254,20 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         twice = known.join(repeated.df, "doc_id", "left_semi").join(nodes.select("d1", "d2", "node"), ["d1", "d2"])
         links = links.union(twice.where("doc_id <> node").select("doc_id", "node"))
     roots = components(links)
+    fine = None
     held = seats.df.join(roots.df, "node", "left").select("band", "key", "node", "w", F.coalesce("root", "node").alias("r"))
     while True:
         # buckets of one component are done; in the others each slot's most central node leads
-        open_ = held.groupBy("band", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("band", "key")
+        open_ = held.groupBy("band", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.ceil(F.count("*") / PART).alias("parts")).where("lo <> hi").select("band", "key", "parts")
         left = Table(held.join(open_, ["band", "key"]).withColumn("slot", F.pmod(F.xxhash64("r", "key"), F.lit(SLOTS))))
         if not left.n:
             break
-        lead = left.df.groupBy("band", "key", "slot").agg(F.max(F.struct(rank.alias("c"), "r")).alias("x")).select("band", "key", (-F.col("x.c.m")).alias("leader"), F.col("x.r").alias("lr"))
-        met = left.df.join(lead, ["band", "key"]).where("r <> lr")
-        pairs = Table(met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct())
-        found = Table(verify(likely(pairs.df, nodes), texts, threshold).select("a", "b")).df
+        if fine is None:  # the nodes of later rounds are among those of the first
+            apart = fine_sketch(texts.join(left.df.select("node").distinct(), "node", "left_semi"))
+            fine = Table(nodes.select("node", F.array(*BAND_COLUMNS).alias("k")).join(apart, "node")).df
+        lead = left.df.groupBy("band", "key", "slot").agg(F.max(F.struct(rank.alias("c"), "r")).alias("x"), F.max("parts").alias("parts")).select("band", "key", (-F.col("x.c.m")).alias("leader"), F.col("x.r").alias("lr"), "parts")
+        pairs = Table(meet(left.df, lead, fine).distinct())
+        found = Table(verify(pairs.df, texts, threshold).select("a", "b")).df
         of = left.df.select("node", "r").distinct()
         apart = found.join(of.toDF("a", "ra"), "a").join(of.toDF("b", "rb"), "b")
         # only components are linked from here on

@@ -343,3 +343,27 @@ def test_among_keeps_exactly_the_wanted(spark):
         got = sorted((r[0], r[1]) for r in among(rows, wanted, bits).collect())
         assert got == sorted([(i, f"t{i}") for i in range(500) if i % 11 and i % 7 == 0] + [(7, "again")])
     assert among(rows, wanted.limit(0)).count() == 0
+
+
+def test_minhash_meet(spark):
+    """Seats of one bucket in many places and batches meet each leader of another component once, and no other."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, (40, minhash.REGISTERS + minhash.FINE), dtype=np.uint8)
+    rows = []
+    for i in range(1500):
+        sig = base[i % 40].copy()
+        cut = rng.random(len(sig)) < (0.1 if i % 2 else 0.45)
+        sig[cut] = rng.integers(0, 256, cut.sum())
+        rows.append((i, sig[: minhash.REGISTERS].view(np.int64).tolist(), sig[minhash.REGISTERS :].tobytes(), None if i % 3 else sig[minhash.REGISTERS :].tobytes()))
+    nodes = spark.createDataFrame(rows, "node long, k array<long>, fine binary, plain binary").repartition(5)
+    seats = spark.createDataFrame([(0, i % 2, i, i % 700, 3) for i in range(1500)], "band int, key long, node long, r long, parts long")
+    lead = spark.createDataFrame([(0, i % 2, i, i % 700, 3) for i in range(60)], "band int, key long, leader long, lr long, parts long")
+    sig = np.array([np.frombuffer(np.array(k, np.int64).tobytes() + f, np.uint8) for _, k, f, _ in rows])
+    near = lambda x, least: ((x.mean(axis=1) - 1 / 256) * 256 / 255) >= least
+    want = []
+    for b in range(60):
+        same = sig == sig[b]
+        ok = near(same[:, : minhash.REGISTERS], minhash.LIKELY) & near(same[:, minhash.REGISTERS :], minhash.FINE_LIKELY)
+        want += [(max(a, b), min(a, b)) for a in np.flatnonzero(ok).tolist() if a % 2 == b % 2 and a % 700 != b % 700]
+    got = [tuple(r) for r in minhash.meet(seats, lead, nodes).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 100
