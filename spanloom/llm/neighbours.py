@@ -4,8 +4,12 @@ Vectors get one more component that turns the largest inner product into the
 smallest distance, are projected to a few dimensions in ``ORDERINGS`` ways, each
 with a shift, and lie on a Hilbert curve each time.  Every ordering is
 range-partitioned and cut into windows of ``WINDOW`` vectors; a query meets its
-own window and both neighbours, and what all orderings find merges and is ranked
-by the exact inner product in double precision.
+own window and as many to either side as the table needs, and what all orderings
+find merges and is ranked by the exact inner product in double precision.
+
+How many follows from the table: ``PROBES`` of the queries are answered exactly
+by one pass over all vectors, and every query reaches as many windows as bring
+``TARGET`` of those neighbours into sight (one at least; all, in the limit).
 
 The projections are fitted on a sample of at most ``SAMPLE`` vectors; every
 vector is indexed.  Equal vectors are one entry with its smallest ids, so a hot
@@ -27,6 +31,7 @@ from .arrays import bounded_batches
 from .shared import cut
 
 ORDERINGS, DIMENSIONS, BITS, WINDOW, SAMPLE = 20, 6, 8, 1024, 20_000
+PROBES, TARGET = 256, 0.95
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -98,7 +103,43 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (sizes[0][0] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, orderings: int = ORDERINGS, dimensions: int = DIMENSIONS, window: int = WINDOW, sample_rows: int = SAMPLE) -> DataFrame:
+def exact(table: DataFrame, ids: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
+    """The ``k`` nearest entries of a few probes (ids and vectors), over the whole table: q, entry, score."""
+
+    def scan(batches):
+        best = np.full((len(ids), k), -np.inf), np.full((len(ids), k), -1, np.int64)
+        for batch in batches:
+            if not len(batch):
+                continue
+            entry = batch.column(0).to_numpy()
+            c = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1).astype(np.float64)
+            score = np.where(entry == ids[:, None], -np.inf, np.einsum("qd,cd->qc", x, c, optimize=False))
+            both = np.c_[best[0], score], np.c_[best[1], np.broadcast_to(entry, score.shape)]
+            at = np.argsort(-both[0], axis=1, kind="stable")[:, :k]
+            best = tuple(np.take_along_axis(b, at, axis=1) for b in both)
+        seen = best[0] > -np.inf
+        yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(ids[:, None], seen.shape)[seen]), pa.array(best[1][seen]), pa.array(best[0][seen])], ["q", "entry", "score"])
+
+    found = table.select("entry", "embedding").mapInArrow(scan, "q long, entry long, score double")
+    return found.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "entry"))).where(F.col("n") <= k).drop("n")
+
+
+def reach(ranked: DataFrame, true: DataFrame, target: float) -> int:
+    """The fewest windows to either side that hold ``target`` of the true neighbours (q, entry) in some ordering."""
+    few = F.broadcast(true.select("q", "entry"))  # probes times k rows, at every size
+    theirs = ranked.join(few, "entry").select("q", "entry", "ordering", "block")
+    own = ranked.join(F.broadcast(true.select(F.col("q").alias("entry")).distinct()), "entry").select(F.col("entry").alias("q"), "ordering", F.col("block").alias("at"))
+    apart = theirs.join(own, ["q", "ordering"]).groupBy("q", "entry").agg(F.min(F.abs(F.col("block") - F.col("at"))).alias("d"))
+    counts = sorted((int(d), n) for d, n in apart.groupBy("d").count().collect())
+    need, seen = target * sum(n for _, n in counts), 0
+    for d, n in counts:
+        seen += n
+        if seen >= need:
+            return max(1, d)
+    return 1
+
+
+def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, orderings: int = ORDERINGS, dimensions: int = DIMENSIONS, window: int = WINDOW, sample_rows: int = SAMPLE, probes: int = PROBES, target: float = TARGET) -> DataFrame:
     """Each query's ``k`` nearest found: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -142,11 +183,16 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, o
         shift.append((o, p, before.get(o, 0) - lo))
         before[o] = before.get(o, 0) + n
     offsets = F.broadcast(spark.createDataFrame(shift, "ordering int, part int, shift long"))  # one row per partition and ordering at most
-    ranked = laid.join(offsets, ["ordering", "part"]).select("entry", F.struct("ordering", F.floor((F.col("at") + F.col("shift")) / window).alias("block")).alias("seat"))
-    seated = ranked.groupBy("entry").agg(F.collect_list("seat").alias("seats")).join(table, "entry")
-    # an entry sits in its own block; where it asks, also as a query there and in both neighbours
-    seats = F.expr("""if(asks, concat(transform(seats, s -> struct(s.ordering, s.block, false as asks)),
-        flatten(transform(seats, s -> transform(array(-1, 0, 1), d -> struct(s.ordering, s.block + d as block, true as asks))))),
+    ranked = laid.join(offsets, ["ordering", "part"]).select("entry", "ordering", F.floor((F.col("at") + F.col("shift")) / window).alias("block"))
+    asked = wanted.orderBy(F.xxhash64("entry"), "entry").limit(probes).join(entries, "entry").select("entry", "embedding").collect()
+    far = 1
+    if asked:
+        ids, x = np.array([r[0] for r in asked], np.int64), np.array([r[1] for r in asked], np.float64)
+        far = reach(ranked, cut(exact(table, ids, x, k)), target)
+    seated = ranked.groupBy("entry").agg(F.collect_list(F.struct("ordering", "block")).alias("seats")).join(table, "entry")
+    # an entry sits in its own block; where it asks, also as a query there and in those within reach
+    seats = F.expr(f"""if(asks, concat(transform(seats, s -> struct(s.ordering, s.block, false as asks)),
+        flatten(transform(seats, s -> transform(sequence(-{far}L, {far}L), d -> struct(s.ordering, s.block + d as block, true as asks))))),
         transform(seats, s -> struct(s.ordering, s.block, false as asks)))""")
     blocks = seated.select("entry", "embedding", F.explode(seats).alias("s")).select("s.ordering", "s.block", "entry", "embedding", "s.asks")
 

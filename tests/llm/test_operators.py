@@ -305,6 +305,23 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_reach_grows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 32))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest(df, orderings=3, window=64).collect():  # three windows of three orderings hold a tenth
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    d, hits = x.astype(float), 0
+    assert sorted(got) == list(range(0, 6000, 20))
+    for q, found in got.items():
+        score = d @ d[q]
+        score[q] = -np.inf
+        hits += len(found & set(np.argsort(-score)[:20].tolist()))
+    assert hits / (20 * len(got)) > 0.9
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for f in (licenses.scan, pii.report, secrets.scan, quality_rules.assess, bpe.encode, packing.sequences, substrings.deduplicate):
