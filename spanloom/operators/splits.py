@@ -77,3 +77,32 @@ def fingerprint(rows: DataFrame, key: str, payload: str, block: int = 4096) -> D
     row = rows.select(key, F.sha2(payload, 256).alias("d"), F.floor(F.col(key) / block).alias("b"))
     blocks = row.groupBy("b").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "d"))), lambda x: x["d"]), ","), 256).alias("d"))
     return blocks.agg(F.substring(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda x: x["d"]), ","), 256), 1, 16).alias("fingerprint"))
+
+
+#: words of a passage that route it, longest first
+ROUTE_WORDS = (8, 4, 2, 1)
+
+
+def passages(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """Pairs (document, item) whose whole passage, trimmed, stands verbatim anywhere in the document's text.
+
+    The words within a passage, without the first and last, are whole words of
+    every text that holds it; the longest run of them from ``ROUTE_WORDS`` is the
+    key of an equi-join, after which the full passage is compared.  Passages of
+    one or two words have no such run and are compared with every document.
+    Blank passages are in none.
+    """
+    b = items.select(item, F.trim("text").alias("passage")).where("passage <> ''").distinct().withColumn("w", F.split("passage", " "))
+    n = F.size("w") - 2
+    b = b.withColumn("k", F.coalesce(*[F.when(n >= k, F.lit(k)) for k in ROUTE_WORDS], F.lit(0)))
+    sizes = [r[0] for r in b.select("k").distinct().collect()]
+    texts = docs.select(key, "text").where(F.col("text").isNotNull())
+    b = b.withColumn("h", F.xxhash64("k", F.expr("slice(w, 2, k)")))
+    found = texts.join(F.broadcast(b.where("k = 0")), F.contains("text", F.col("passage"))).select(key, item)
+    words = texts.select(key, F.split("text", " ").alias("w"))
+    for k in sorted(set(sizes) - {0}):
+        runs = F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), lambda i: F.xxhash64(F.lit(k), F.slice("w", i, k)))  # noqa: B023
+        h = words.where(F.size("w") >= k + 2).select(key, F.explode(F.array_distinct(runs)).alias("h"))
+        near = h.join(b.where(F.col("k") == k), "h").select(key, item, "passage").distinct()
+        found = found.unionByName(texts.join(near, key).where(F.contains("text", F.col("passage"))).select(key, item))
+    return found.distinct()

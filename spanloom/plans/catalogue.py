@@ -181,6 +181,11 @@ def benchmark_leakage(spark, d):
     return lines.join(b, "line").groupBy("item_id").agg(F.count("*").alias("n_docs"))
 
 
+@query("""SELECT b.item_id, count(DISTINCT d.doc_id) AS n_docs FROM benchmark b JOIN documents d ON contains(d.text, trim(b.text)) WHERE trim(b.text) <> '' GROUP BY 1""")
+def benchmark_passages(spark, d):
+    return splits.passages(table(spark, d, "documents"), table(spark, d, "benchmark")).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+
+
 @query("""WITH c AS (SELECT md5(text) AS k, lang, source FROM documents), b AS (SELECT count(DISTINCT k) AS b FROM c),
 x AS (SELECT 'lang' AS field, max(d) AS most, CAST(sum(m) AS BIGINT) AS missing FROM (SELECT k, count(DISTINCT lang) AS d, count(*) FILTER (WHERE lang IS NULL) AS m FROM c GROUP BY k)
  UNION ALL SELECT 'source', max(d), CAST(sum(m) AS BIGINT) FROM (SELECT k, count(DISTINCT source) AS d, count(*) FILTER (WHERE source IS NULL) AS m FROM c GROUP BY k)),

@@ -1,0 +1,14 @@
+"""Operators against brute force, where the tables do not show the whole job."""
+
+from spanloom.operators import splits
+
+
+def test_passages_anywhere(spark):
+    long = "one two three four five six seven eight nine ten eleven"
+    items = [(1, f" {long} "), (2, "red green blue"), (3, "alpha beta"), (4, "lone"), (5, " "), (6, None), (7, "a b c d e f g"), (8, "line one\nline two end here"), (9, "x  y  z")]
+    texts = [long, f"before {long} after", f"pre{long}post", "a red green blues", "red  green blue", "talpha beta", "clone", "", None, "z a b c d e f gh", "a b c d e f", "my line one\nline two end here.", "x  y  zz", "x y z", f"{long[:-1]}", f"head\n{long}\ntail"]
+    got = splits.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(d, i) for d, t in enumerate(texts) for i, p in items if t and p and p.strip() and p.strip() in t}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+    assert {(1, 1), (2, 1), (3, 2), (5, 3), (6, 4)} <= want
