@@ -147,6 +147,52 @@ def verify_outcomes(gold: DataFrame, pred: DataFrame, labels: list[str], key: st
     return j.select(key, "start", "end", "type", "surface", "pred_type", outcome.alias("outcome"))
 
 
+def verify_matched(gold: DataFrame, pred: DataFrame, labels: list[str], key: str = "doc_id") -> DataFrame:
+    """As ``verify_outcomes``, with both passes of the matching.
+
+    Gold entities of a record are taken in order (start, end, type); each takes the
+    first unused prediction of the same trimmed surface, else the first unused one
+    within it or around it at a length ratio of 0.7 or more (as ``text_match``).
+    Exempt entities use up predictions too.  Records are the unit of work.
+    """
+    import pandas as pd
+
+    def match(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        g, p = (x.sort_values(["start", "end", "type"], kind="stable") for x in (g, p))
+        texts, types = [x.strip() if isinstance(x, str) else "" for x in p["surface"]], p["type"].tolist()
+        equal: dict[str, list[int]] = {}
+        for i in range(len(texts) - 1, -1, -1):
+            equal.setdefault(texts[i], []).append(i)  # the first one stands last
+        # predictions by length, so that only lengths within the ratio are met
+        by_length: dict[int, list[int]] = {}
+        for i, t in enumerate(texts):
+            if t:
+                by_length.setdefault(len(t), []).append(i)
+        used, out = set(), []
+        for a in (x.strip() if isinstance(x, str) else "" for x in g["surface"]):
+            hit = equal[a].pop() if equal.get(a) else None
+            if hit is None and a:
+                for n in [n for n in by_length if min(n, len(a)) / max(n, len(a)) >= 0.7]:
+                    by_length[n] = [i for i in by_length[n] if i not in used]
+                    first = next((i for i in by_length[n] if a in texts[i] or texts[i] in a), None)
+                    if first is not None and (hit is None or first < hit):
+                        hit = first
+                if hit is not None:
+                    equal[texts[hit]].remove(hit)
+            if hit is not None:
+                used.add(hit)
+            out.append(hit)
+        return g.assign(pred_type=pd.Series([None if i is None else types[i] for i in out], index=g.index, dtype=object), found=[i is not None for i in out])
+
+    fields = [key, "start", "end", "type", "surface"]
+    kinds = {f.name: f.dataType.simpleString() for f in gold.select(*fields).schema}
+    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", pred_type string, found boolean"
+    left, right = gold.select(*fields).groupBy(key), pred.select(*fields).groupBy(key)
+    j = left.cogroup(right).applyInPandas(match, schema)
+    outcome = F.when(~F.col("type").isin(labels), "exempt").when(~F.col("found"), "missed").when(F.col("pred_type") == F.col("type"), "confirmed").otherwise("conflict")
+    return j.select(*fields, "pred_type", outcome.alias("outcome"))
+
+
 def apply_policy(outcomes: DataFrame, policy: str, key: str = "doc_id") -> DataFrame:
     """Entities kept: drop_span drops failed ones, drop_record their whole record, keep_all none."""
     bad = F.col("outcome").isin("missed", "conflict")

@@ -397,6 +397,27 @@ def verify_policy_kept(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def matched(spark, d) -> DataFrame:
+    return augment.verify_matched(gold(spark, d), pred(spark, d), VERIFY_LABELS)
+
+
+@query()
+def verify_matched_outcomes(spark, d):
+    return matched(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query()
+def verify_matched_report(spark, d):
+    return matched(spark, d).groupBy("type").agg(*[F.count_if(F.col("outcome") == x).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")])
+
+
+@query()
+def verify_matched_kept(spark, d):
+    o = matched(spark, d)
+    parts = [augment.apply_policy(o, p).agg(F.lit(p).alias("policy"), F.count("*").alias("n")) for p in ("keep_all", "drop_span", "drop_record")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 LANG_CASES = [("plain english", "en"), ("日本語です", "ja"), ("カタカナ", "ja"), ("한국어 문장", "ko"), ("tiếng Việt", "vi"), ("đây", "vi"), ("漢字", "unsupported"), ("café", "en"), ("", "unsupported"), ("123 !?", "unsupported"), ("한글 と", "ja"), ("a × b", "en")]
 
 

@@ -1,6 +1,8 @@
 """Operators against brute force, where the tables do not show the whole job."""
 
-from spanloom.operators import splits
+import random
+
+from spanloom.operators import augment, splits
 
 
 def test_passages_anywhere(spark):
@@ -12,3 +14,31 @@ def test_passages_anywhere(spark):
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
     assert {(1, 1), (2, 1), (3, 2), (5, 3), (6, 4)} <= want
+
+
+def same_text(a, b):
+    return bool(a and b) and (a == b or (a in b or b in a) and min(len(a), len(b)) / max(len(a), len(b)) >= 0.7)
+
+
+def test_verify_matched(spark):
+    rng = random.Random(3)
+    words = ["Anna", "Ann", "Annas", "Berlin", "Berli", "Berlin ", "Rome", "Romero", "", " ", None, "aaaaaaa", "aaaaaa"]
+    span = lambda d, s: (d, s, s + rng.randint(1, 4), rng.choice(["PER", "LOC", "EVT"]), rng.choice(words))
+    golds = [span(d, 5 * i) for d in range(40) for i in range(rng.randint(0, 12))] + [(50, 0, 6, "LOC", "Berlin"), (51, 0, 4, "PER", "Anna")]
+    preds = [span(d, 5 * i) for d in range(40) for i in range(rng.randint(0, 12))] + [(50, 0, 5, "LOC", "Berli"), (52, 0, 4, "PER", "Anna")]
+    want = []
+    for d in {g[0] for g in golds}:
+        mine, used = sorted((p for p in preds if p[0] == d), key=lambda p: p[1:4]), set()
+        for g in sorted((g for g in golds if g[0] == d), key=lambda g: g[1:4]):
+            a = (g[4] or "").strip()
+            left = [i for i in range(len(mine)) if i not in used]
+            hit = next((i for i in left if (mine[i][4] or "").strip() == a), None)
+            if hit is None:
+                hit = next((i for i in left if same_text(a, (mine[i][4] or "").strip())), None)
+            used.add(hit)
+            outcome = "exempt" if g[3] == "EVT" else "missed" if hit is None else "confirmed" if mine[hit][3] == g[3] else "conflict"
+            want.append((*g, None if hit is None else mine[hit][3], outcome))
+    schema = "doc_id long, start long, end long, type string, surface string"
+    got = augment.verify_matched(spark.createDataFrame(golds, schema), spark.createDataFrame(preds, schema), ["PER", "LOC"]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert (50, 0, 6, "LOC", "Berlin", "LOC", "confirmed") in want
