@@ -2,14 +2,65 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+#: fixed values: characters that join a word, and what may follow a Korean surface or makes another word of it
+WORD = "[가-힣A-Za-z0-9]"
+PARTICLES = """으로서 으로써 이라는 이라고 에서는 에서도 에게서 으로는 으로도 이라며 이라도 이었 이라 라고 라는 라며 에서 에게 에는 에도 에만 까지 부터 처럼
+보다 조차 마저 밖에 대로 같이 이랑 이며 으로 이나 이란 은 는 이 가 을 를 에 와 과 의 로 만 도 랑 뿐 인 며 나 란""".split()
+SUFFIXES = "장실석자단문록비후중때날용차"
+KEY, AFTER = 4, 3  #: characters of a surface that route it; characters after it that decide
+SLOTS = 1 << 20  #: of the filter before the join, at every size
+
 
 def mentions(toks: DataFrame, surfaces: DataFrame, key: str = "doc_id") -> DataFrame:
     """Tokens equal to a surface of the dictionary: an equi-join, whatever the dictionary's size."""
     return toks.join(surfaces.select(F.col("surface").alias("word")).distinct(), "word").select(key, F.col("start"), (F.col("start") + F.length("word")).alias("end"), F.col("word").alias("surface"))
 
 
+def mentions_anywhere(docs: DataFrame, surfaces: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Every standalone occurrence of a surface in the whole text, overlapping ones and surfaces of several words too.
+
+    No Hangul, Latin letter or digit may stand before it, and no letter or digit
+    after it, unless a Korean particle follows that is no derivational suffix.
+    Places that may begin a mention meet the dictionary by an equi-join on the
+    first characters; a table of their checksums holds back most others before.
+    """
+    s = surfaces.select("surface").where("surface <> ''").distinct()
+    most = s.agg(F.max(F.length("surface"))).first()[0]
+    if most is None:
+        return docs.select(key, F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), F.lit("").alias("surface")).limit(0)
+    s = s.withColumn("head", F.substring("surface", 1, KEY))
+    # a surface shorter than the key is met by its own length
+    sizes = sorted(r[0] for r in s.select(F.length("head")).distinct().collect())
+    marks = bytearray(SLOTS)
+    for r in s.select((F.crc32("head") % SLOTS).alias("m")).distinct().collect():  # SLOTS numbers at most
+        marks[r[0]] = 1
+    marks, begins, width = bytes(marks), re.compile(rf"(?<!{WORD})(?=.)", re.DOTALL), most + AFTER
+
+    def places(batches):
+        for batch in batches:
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                spots = ((m.start(), text[m.start() : m.start() + n]) for m in begins.finditer(text) for n in sizes if m.start() + n <= len(text))
+                at = [(p, head) for p, head in spots if marks[zlib.crc32(head.encode()) % SLOTS]]
+                for a in range(0, len(at), 1 << 14):  # bounded, however long the text
+                    some = at[a : a + (1 << 14)]
+                    ids = batch.column(0).take(pa.array([i] * len(some), pa.int64()))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array([p for p, _ in some], pa.int64()), pa.array([h for _, h in some], pa.string()), pa.array([text[p : p + width] for p, _ in some], pa.string())], [key, "start", "head", "seg"])
+
+    kind = dict(docs.dtypes)[key]
+    found = docs.select(key, "text").where("text is not null").mapInArrow(places, f"`{key}` {kind}, start long, head string, seg string")
+    met = found.join(s, "head").where(F.startswith("seg", F.col("surface")))
+    rest = F.substr("seg", F.length("surface") + 1)
+    particle = rest.rlike(f"^(?![{SUFFIXES}])(?:{'|'.join(PARTICLES)})")
+    free = (rest == "") | rest.rlike(r"(?s)^[^\p{L}\p{N}]") | particle
+    return met.where(free).select(key, "start", (F.col("start") + F.length("surface")).alias("end"), "surface")
+
+
 def uncovered(found: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """Mentions that no labelled span overlaps: an anti-join by document with a residual test."""
     s = spans.select(F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))

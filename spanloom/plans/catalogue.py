@@ -502,6 +502,27 @@ def ledger_exclusion(spark, d):
     return audit.exclude_judged(lost, ledger).withColumnRenamed("end", "stop")
 
 
+def _anywhere(spark, d) -> DataFrame:
+    return audit.mentions_anywhere(table(spark, d, "documents").select("doc_id", "text"), _dictionary(spark, d))
+
+
+@query()
+def dictionary_mentions_anywhere(spark, d):
+    return _anywhere(spark, d).groupBy("surface").agg(F.count("*").alias("n"))
+
+
+@query()
+def unlabeled_mentions_anywhere(spark, d):
+    return audit.uncovered(_anywhere(spark, d), pred(spark, d)).withColumnRenamed("end", "stop")
+
+
+@query()
+def ledger_exclusion_anywhere(spark, d):
+    lost = audit.uncovered(_anywhere(spark, d), pred(spark, d))
+    ledger = lost.where("doc_id % 3 = 0").select("doc_id", "start", "end", F.lit("NOT").alias("verdict"))
+    return audit.exclude_judged(lost, ledger).withColumnRenamed("end", "stop")
+
+
 @query(f"""{TOKENS_SQL}, {FREQUENT}, s AS (SELECT DISTINCT surface FROM gold), t AS (SELECT s.surface, f.surface AS target, row_number() OVER (PARTITION BY s.surface ORDER BY length(f.surface) DESC) AS r FROM s JOIN freq f ON starts_with(s.surface, f.surface) AND s.surface <> f.surface)
 SELECT g.surface, target, count(*) AS n FROM gold g JOIN t ON g.surface = t.surface AND r = 1 GROUP BY ALL""")
 def trim_targets(spark, d):

@@ -2,7 +2,7 @@
 
 import random
 
-from spanloom.operators import augment, splits
+from spanloom.operators import audit, augment, splits
 
 
 def test_passages_anywhere(spark):
@@ -42,3 +42,22 @@ def test_verify_matched(spark):
     got = augment.verify_matched(spark.createDataFrame(golds, schema), spark.createDataFrame(preds, schema), ["PER", "LOC"]).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert (50, 0, 6, "LOC", "Berlin", "LOC", "confirmed") in want
+
+
+def test_mentions_anywhere(spark):
+    surfaces = ["Anna", "Ann", "New York", "York", "서울", "서울 시청", "U.S.", "a", "New York New", "", None]
+    texts = ["Anna, Ann\nAnna.", "New York New York New", "서울은 서울시 서울장 서울 시청에서", "xAnna Annab Anna_", "the U.S. and U.S.A", "a😀Ann a", "", None, "(Anna)", "(서울)이라는", "New  York", "éAnn Anné"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in audit.mentions_anywhere(docs, spark.createDataFrame([(s,) for s in surfaces + ["Ann"]], "surface string")).collect())
+
+    def stands(t, i, s):
+        rest = t[i + len(s) :]
+        if t[:i] and (t[i - 1].isascii() and t[i - 1].isalnum() or "가" <= t[i - 1] <= "힣"):
+            return False
+        return not rest or not rest[0].isalnum() or rest[0] not in audit.SUFFIXES and any(rest.startswith(p) for p in audit.PARTICLES)
+
+    want = sorted((d, i, i + len(s), s) for d, t in enumerate(texts) if t for s in surfaces if s for i in range(len(t)) if t.startswith(s, i) and stands(t, i, s))
+    assert got == want
+    assert {(0, 0, 4, "Anna"), (0, 6, 9, "Ann"), (1, 9, 21, "New York New"), (2, 0, 2, "서울"), (2, 12, 17, "서울 시청")} <= set(got)
+    assert not [g for g in got if g[0] == 3 and g[3] == "Ann"]
+    assert audit.mentions_anywhere(docs, spark.createDataFrame([], "surface string")).count() == 0
