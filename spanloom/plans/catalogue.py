@@ -344,7 +344,7 @@ def harden_collisions(spark, d):
 @query(f"""SELECT doc_id, len(regexp_extract_all(text, '{EMAIL}')) AS n_masked, length(regexp_replace(text, '{EMAIL}', '', 'g')) + 9 * len(regexp_extract_all(text, '{EMAIL}')) AS len_masked, true AS same
 FROM documents WHERE regexp_matches(text, '{EMAIL}') AND len(regexp_extract_all(text, '{EMAIL}')) <= 10""")
 def mask_restore_identity(spark, d):
-    docs = table(spark, d, "documents").where(F.col("text").rlike(EMAIL)).withColumn("sp", tx.regex_spans(F.col("text"), EMAIL)).where(F.size("sp") <= 10)
+    docs = table(spark, d, "documents").where(F.col("text").rlike(EMAIL)).withColumn("sp", tx.regex_spans(F.col("text"), EMAIL))
     m = docs.withColumn("masked", spans.mask(F.col("text"), F.col("sp"), "ab"))
     back = spans.restore(F.col("masked"), F.transform("sp", lambda x: x["m"]), "ab")
     return m.select("doc_id", F.size("sp").cast("long").alias("n_masked"), F.length("masked").cast("long").alias("len_masked"), (back == F.col("text")).alias("same"))

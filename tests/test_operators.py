@@ -3,6 +3,7 @@
 import random
 
 from spanloom.operators import audit, augment, splits
+from spanloom.plans import catalogue
 
 
 def test_passages_anywhere(spark):
@@ -61,3 +62,13 @@ def test_mentions_anywhere(spark):
     assert {(0, 0, 4, "Anna"), (0, 6, 9, "Ann"), (1, 9, 21, "New York New"), (2, 0, 2, "서울"), (2, 12, 17, "서울 시청")} <= set(got)
     assert not [g for g in got if g[0] == 3 and g[3] == "Ann"]
     assert audit.mentions_anywhere(docs, spark.createDataFrame([], "surface string")).count() == 0
+
+
+def test_mask_many_mails(spark, tmp_path):
+    texts = [" ".join(f"say user{i}@mail.org now" for i in range(n)) for n in (0, 1, 10, 11, 123)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in catalogue.queries()["mask_restore_identity"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    for d, n in ((1, 1), (2, 10), (3, 11), (4, 123)):
+        masked = len(" ".join(f"say {'x' * (8 + len(str(i)))} now" for i in range(n)))
+        assert (got[d]["n_masked"], got[d]["len_masked"], got[d]["same"]) == (n, masked, True)
