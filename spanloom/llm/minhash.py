@@ -6,7 +6,7 @@ arrivals into ``REGISTERS`` registers; a process ends once its next arrival is
 later than every register's, and a register keeps the element that came first,
 so registers agree with the probability Jaccard similarity.  ``BANDS`` bands of
 ``ROWS`` registers give buckets (a pair of similarity 0.8 shares one with
-probability over 0.9999).
+probability 0.997, one of 0.85 with 0.9999).
 
 Texts of equal words are one node from the start.  In each bucket every node is
 compared with the most central one of its buckets' leaders; components that are still apart meet
