@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 #: fixed values: script ranges, in order of precedence
-KANA = r"[\x{3040}-\x{309F}\x{30A0}-\x{30FF}\x{31F0}-\x{31FF}\x{FF66}-\x{FF9F}]"
-HANGUL = r"[\x{1100}-\x{11FF}\x{3130}-\x{318F}\x{A960}-\x{A97F}\x{AC00}-\x{D7AF}\x{D7B0}-\x{D7FF}\x{FFA0}-\x{FFDC}]"
-VI_MARKS = r"[\x{0110}\x{0111}\x{01A0}\x{01A1}\x{01AF}\x{01B0}\x{0309}\x{031B}\x{0323}\x{1EA0}-\x{1EF1}]|[\x{1EF4}-\x{1EF7}]"
-LATIN = r"[A-Za-z\x{00AA}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}\x{1E00}-\x{1EFF}\x{2C60}-\x{2C7F}\x{A720}-\x{A7FF}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}]"
+KANA_RANGES = ((0x3040, 0x309F), (0x30A0, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9D))
+HANGUL_RANGES = ((0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7A3), (0xD7B0, 0xD7FF), (0xFFA0, 0xFFDC))
+LATIN_RANGES = ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0xFF), (0x100, 0x24F), (0x1E00, 0x1EFF), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A))
+VI_SIGNS = "\u031b\u0309\u0323\u0111\u0110"  #: horn, hook above, dot below, and the letters that do not decompose
+
+
+def ranges_of(chars) -> tuple[tuple[int, int], ...]:
+    """Code points as inclusive ranges."""
+    out: list[list[int]] = []
+    for c in sorted(chars):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return tuple(map(tuple, out))
+
+
+#: every character whose canonical decomposition holds one of the signs
+VI_RANGES = ranges_of(c for c in range(0x80, 0x3000) if set(unicodedata.normalize("NFD", chr(c))) & set(VI_SIGNS))
+
+
+def in_ranges(ranges) -> str:
+    """Pattern of one character in any of the ranges."""
+    return "[" + "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in ranges) + "]"
+
+
+KANA, HANGUL, VI_MARKS, LATIN = map(in_ranges, (KANA_RANGES, HANGUL_RANGES, VI_RANGES, LATIN_RANGES))
 DETECTORS: tuple[tuple[str, str], ...] = ((KANA, "ja"), (HANGUL, "ko"), (VI_MARKS, "vi"))
 
 
@@ -32,7 +57,11 @@ def strip_thinking(text: Column) -> Column:
 
 
 def strip_fence(text: Column) -> Column:
-    return F.regexp_replace(strip_thinking(text), r"(?s)^```[A-Za-z]*\n?(.*?)\n?```$", "$1")
+    """A model's answer without its thinking and without the first and last line of a fence around it."""
+    plain = strip_thinking(text)
+    lines = F.split(plain, "\n")
+    inner = trim_all(F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 2, F.lit(0))), "\n"))
+    return F.when(plain.startswith("```") & plain.endswith("```"), inner).otherwise(plain)
 
 
 def sentences(text: Column, lang: str = "en", least: int = 10) -> Column:
@@ -76,15 +105,20 @@ def occurrences(text: Column, surface: Column) -> Column:
 
 
 def parse_spans(raw: Column) -> Column:
-    """Surface spans (text, type) of a model's answer: a list, one object, or a list inside an object or prose."""
+    """Surface spans (text, type) of a model's answer.
+
+    A list counts as it is, an object with text and type as one span, another
+    object by its first list; else the first shortest bracketed part is read.
+    Entries without text or type go.
+    """
     kind = "array<struct<text:string,type:string>>"
-    clean = strip_fence(raw)
+    clean = strip_thinking(raw)
     one = F.from_json(clean, "struct<text:string,type:string>")
-    inner = F.from_json(F.regexp_extract(clean, r"(?s)(\[.*?\])", 1), kind)
+    values = F.filter(F.map_values(F.from_json(clean, "map<string,string>")), lambda v: F.startswith(F.ltrim(v), F.lit("[")))
     got = F.coalesce(
         F.when(clean.startswith("["), F.from_json(clean, kind)),
-        F.when(clean.startswith("{") & one["text"].isNotNull() & one["type"].isNotNull(), F.array(one)),
-        inner,
+        F.when(clean.startswith("{"), F.coalesce(F.when(one["text"].isNotNull() & one["type"].isNotNull(), F.array(one)), F.from_json(F.get(values, F.lit(0)), kind))),
+        F.from_json(F.regexp_extract(clean, r"(?s)(\[.*?\])", 1), kind),
         F.array().cast(kind),
     )
     return F.filter(got, lambda s: s["text"].isNotNull() & s["type"].isNotNull())
@@ -92,19 +126,25 @@ def parse_spans(raw: Column) -> Column:
 
 #: fixed values: tag spellings by language
 TAG_MAPS = {
-    "ko": {"PS": "PER", "LC": "LOC", "OG": "ORG", "DT": "DAT", "TI": "TIM", "QT": "QTY"},
-    "ja": {"PER": "PS", "LOC": "LC", "ORG": "OG", "DAT": "DT"},
+    "ko": {"PS": "PER", "LC": "LOC", "OG": "ORG", "DT": "DAT", "PERSON": "PER", "LOCATION": "LOC", "ORGANIZATION": "ORG", "DATE": "DAT"},
+    "ja": {
+        "PER": "PS", "LOC": "LC", "ORG": "OG", "DAT": "DT", "TIM": "TI", "NUM": "QT", "QUANTITY": "QT", "DATE": "DT", "TIME": "TI",
+        "PERSON": "PS", "LOCATION": "LC", "ORGANIZATION": "OG",
+    },
     "vi": {"PERSON": "PER", "LOCATION": "LOC", "ORGANIZATION": "ORG", "MISCELLANEOUS": "MISC"},
-}
+}
 
 
 def normalize_tag(tag: Column, lang: Column) -> Column:
-    """B-/I- tags under a language's spelling; unknown languages use the Korean one; empty becomes O."""
-    entity = F.upper(F.regexp_extract(tag, r"^[^-]*-(.*)$", 1))
+    """B-/I- tags under a language's spelling, looked up in capitals; others stay as they are written.
+
+    Unknown languages use the Korean map; empty and null become O; a tag without a hyphen stays.
+    """
+    entity = F.regexp_extract(tag, r"(?s)^[^-]*-(.*)$", 1)
 
     def mapped(pairs: dict[str, str]) -> Column:
         table = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-        return F.coalesce(F.try_element_at(table, entity), entity)
+        return F.coalesce(F.try_element_at(table, F.upper(entity)), entity)
 
     found = F.when(lang == "ja", mapped(TAG_MAPS["ja"])).when(lang == "vi", mapped(TAG_MAPS["vi"])).otherwise(mapped(TAG_MAPS["ko"]))
     prefix = F.regexp_extract(tag, r"^([^-]*)-", 1)
@@ -122,3 +162,102 @@ def text_match(a: Column, b: Column, least: float = 0.7) -> Column:
     ratio = F.least(F.length(x), F.length(y)) / F.greatest(F.length(x), F.length(y))
     within = (F.contains(x, y) | F.contains(y, x)) & (ratio >= least)
     return F.coalesce((x != "") & (y != "") & ((x == y) | within), F.lit(False))
+
+
+def context(text: Column, start: Column, end: Column, width: int) -> tuple[Column, Column]:
+    """The ``width`` characters before and after a span, fewer at the ends of the text."""
+    before = F.greatest(start - width, F.lit(0))
+    return F.substr(text, (before + 1).cast("int"), (start - before).cast("int")), F.substr(text, (end + 1).cast("int"), F.lit(width))
+
+
+def surface(text: Column, start: Column, end: Column) -> Column:
+    return F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+
+
+#: fixed values: endings that a Japanese surface may carry
+JA_PARTICLES = ("は", "が", "を", "に", "で", "と", "の", "へ", "から", "まで", "も", "や", "より")
+JA_HONORIFICS = ("氏", "さん", "君", "ちゃん", "様")
+
+
+def strip_endings(text: Column) -> Column:
+    """Without one particle (the longest) and then one honorific; at least one character stays."""
+    for endings in (JA_PARTICLES, JA_HONORIFICS):
+        text = F.regexp_replace(text, rf"(?s)(?<=.)(?:{'|'.join(sorted(endings, key=len, reverse=True))})$", "")
+    return text
+
+
+def collapse(text: Column) -> Column:
+    """Without any white space."""
+    return F.regexp_replace(text, r"(?U)\s+", "")
+
+
+def plain_surface(text: Column) -> Column:
+    """The form under which surfaces are compared: trimmed, no spaces."""
+    return F.replace(trim_all(text), F.lit(" "), F.lit(""))
+
+
+def reconstruct(tokens: Column) -> Column:
+    """Text of tokens: syllables end to end, blank ones as a space; without blank ones, words with a space between."""
+    blank = lambda t: trim_all(t) == ""
+    return F.when(F.exists(tokens, blank), F.array_join(F.transform(tokens, lambda t: F.when(blank(t), F.lit(" ")).otherwise(t)), "")).otherwise(F.array_join(tokens, " "))
+
+
+def characters(text: Column) -> Column:
+    """The code points of a text, so that each is reached by its place."""
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+
+
+def folded(text: Column) -> Column:
+    """Struct (text, index): trimmed, runs of white space as one space, and for each character its place in the original.
+
+    The space of a run stands for the run's last character.
+    """
+    chars = characters(text)
+    blank = lambda c: c.rlike(r"(?U)^\s$")
+    lead = F.length(text) - F.length(F.regexp_replace(text, r"(?U)^\s+", ""))
+    placed = F.transform(chars, lambda c, i: F.struct(c.alias("c"), i.alias("i"), blank(c).alias("b")))
+    ends = lambda x: F.coalesce(~F.get(placed, x["i"] + 1)["b"], F.lit(False))
+    kept = F.filter(placed, lambda x: ~x["b"] | ((x["i"] >= lead) & ends(x)))
+    return F.struct(F.array_join(F.transform(kept, lambda x: F.when(x["b"], F.lit(" ")).otherwise(x["c"])), "").alias("text"), F.transform(kept, lambda x: x["i"]).alias("index"))
+
+
+def unfold(index: Column, start: Column, end: Column, size: Column) -> tuple[Column, Column]:
+    """Offsets in the folded text as offsets in the original of ``size`` characters; (0, 0) stays, an empty span stands where its character stood."""
+    none = (start == 0) & (end == 0)
+    first = F.coalesce(F.get(index, start), size)
+    return F.when(none, F.lit(0)).otherwise(first), F.when(none, F.lit(0)).when(end > start, F.get(index, end - 1) + 1).otherwise(first)
+
+
+def trimmed(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
+    """A span without white space at its ends and without full stops and commas at its end; as it was if nothing were left."""
+    part = surface(text, start, end)
+    lead = F.length(F.regexp_extract(part, r"(?U)^\s*", 0))
+    trail = F.length(F.regexp_extract(F.substr(part, lead + 1), r"(?U)[\s.,]*$", 0))
+    empty = lead + trail >= F.length(part)
+    return F.when(empty, start).otherwise(start + lead), F.when(empty, end).otherwise(end - trail)
+
+
+def strip_markup(sentence: Column) -> Column:
+    """``<surface:TAG>`` as the surface alone."""
+    return F.regexp_replace(sentence, r"<([^:>]+):[A-Z]+>", "$1")
+
+
+def table_cell(text: Column) -> Column:
+    """Text that may stand in a cell of a Markdown table."""
+    return F.replace(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))
+
+
+def lang_summary(langs: Column) -> Column:
+    """Languages in the order of their first place, joined by a plus; none gives a hyphen."""
+    return F.when(F.size(langs) > 0, F.array_join(F.array_distinct(langs), "+")).otherwise(F.lit("-"))
+
+
+def nfc(text: Column) -> Column:
+    """Canonical composition; there is no built-in for it, so batches of texts are composed in Python."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def compose(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+
+    return compose(text)

@@ -8,6 +8,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .spans import touching
+
 #: fixed values: characters that join a word, and what may follow a Korean surface or makes another word of it
 WORD = "[가-힣A-Za-z0-9]"
 PARTICLES = """으로서 으로써 이라는 이라고 에서는 에서도 에게서 으로는 으로도 이라며 이라도 이었 이라 라고 라는 라며 에서 에게 에는 에도 에만 까지 부터 처럼
@@ -62,9 +64,11 @@ def mentions_anywhere(docs: DataFrame, surfaces: DataFrame, key: str = "doc_id")
 
 
 def uncovered(found: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Mentions that no labelled span overlaps: an anti-join by document with a residual test."""
+    """Mentions (key, start, end, ...) that no labelled span overlaps."""
     s = spans.select(F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
-    return found.join(s, (found[key] == s["k"]) & (found["start"] < s["e"]) & (s["s"] < found["end"]), "left_anti")
+    sites = found.select(key, "start", F.col("end").alias("stop")).distinct()
+    taken = touching(sites, s, key).select(key, "start", F.col("stop").alias("end")).distinct()
+    return found.join(taken, [key, "start", "end"], "left_anti").select(*found.columns)
 
 
 def exclude_judged(found: DataFrame, ledger: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
+from ..functions.text import context, plain_surface, surface
+from . import matching
 
 
 def prf(tp: Column, pred: Column, gold: Column) -> tuple[Column, Column, Column]:
@@ -35,56 +36,114 @@ def strict(gold: DataFrame, pred: DataFrame, by: list[str] | None = None, keys:
     return rated(counted.unionByName(total.withColumn("type", F.lit("ALL"))))
 
 
-def relaxed(gold: DataFrame, pred: DataFrame, key: str = "doc_id") -> DataFrame:
-    """COR + PAR/2 scores; each gold span, in order, takes its exact prediction, else the first unused overlapping one of its type."""
-    listed = lambda df, name: df.groupBy(key, "type").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(name))
-    both = listed(gold, "gs").join(listed(pred, "ps"), [key, "type"], "full")
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    both = both.withColumns({"gs": F.coalesce("gs", none), "ps": F.coalesce("ps", none)})
-    greedy = F.expr("""aggregate(gs, named_struct('used', cast(array() as array<int>), 'cor', 0L, 'par', 0L), (a, g) ->
-        case when exists(sequence(0, size(ps)), i -> i < size(ps) and not array_contains(a.used, i) and ps[i].start = g.start and ps[i].end = g.end)
-          then named_struct('used', array_append(a.used, array_min(filter(sequence(0, size(ps) - 1), i -> not array_contains(a.used, i) and ps[i].start = g.start and ps[i].end = g.end))), 'cor', a.cor + 1, 'par', a.par)
-        when exists(sequence(0, size(ps)), i -> i < size(ps) and not array_contains(a.used, i) and ps[i].start < g.end and g.start < ps[i].end)
-          then named_struct('used', array_append(a.used, array_min(filter(sequence(0, size(ps) - 1), i -> not array_contains(a.used, i) and ps[i].start < g.end and g.start < ps[i].end))), 'cor', a.cor, 'par', a.par + 1)
-        else a end)""")
-    # only spans without an exact partner need the fold over indices; a document's list of one type is short
-    done = both.withColumn("m", greedy)
-    counted = done.groupBy("type").agg(F.sum("m.cor").alias("cor"), F.sum("m.par").alias("par"), F.sum(F.size("ps").cast("long")).alias("n_pred"), F.sum(F.size("gs").cast("long")).alias("n_gold"))
-    total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("cor", "par", "n_pred", "n_gold")]).withColumn("type", F.lit("ALL"))
+def relaxed(gold: DataFrame, pred: DataFrame, key: str = "doc_id", by: list[str] | None = None) -> DataFrame:
+    """COR + PAR/2 scores; each gold span, in order, takes its exact prediction, else the first unused overlapping one of its type.
+
+    ``by`` names columns of both tables that are part of the key and split the scores.
+    """
+    by = by or []
+    both = gold, pred
+    if by:
+        both = tuple(df.withColumn("_key", F.struct(key, *by)) for df in both)
+    found = matching.relaxed_pairs(*both, "_key" if by else key)
+    groups = [F.col(f"_key.{c}").alias(c) for c in by]
+    many = lambda name: F.size(F.filter("pairs", lambda x: x["class"] == name)).cast("long")
+    counted = found.groupBy(*groups, "type").agg(F.sum(many("COR")).alias("cor"), F.sum(many("PAR")).alias("par"), F.sum(F.size("ps").cast("long")).alias("n_pred"), F.sum(F.size("gs").cast("long")).alias("n_gold"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("cor", "par", "n_pred", "n_gold")]
+    total = (counted.groupBy(*by).agg(*sums) if by else counted.agg(*sums)).withColumn("type", F.lit("ALL"))
     out = counted.unionByName(total).withColumn("credit", F.col("cor") + F.col("par") * 0.5)
     return rated(out, "credit").drop("credit")
 
 
 def errors(gold: DataFrame, pred: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per matched pair or unmatched span: class EXACT, BOUNDARY, TYPE_MISMATCH, MISS or HALLUCINATION.
+    """One row per matched pair or unmatched span, see ``matching.error_rows``."""
+    return matching.error_rows(gold, pred, key)
+
+
+def error_totals(rows: DataFrame) -> DataFrame:
+    """Counts of the gold side (fn) and the predicted side (fp) by type and class, by class, and in all (type or class ALL)."""
+    sides_ = rows.where("class <> 'EXACT'").select(F.explode(F.array(
+        F.struct(F.lit("fn").alias("side"), F.col("g_type").alias("type"), "class"),
+        F.struct(F.lit("fp").alias("side"), F.col("p_type").alias("type"), "class"),
+    )).alias("x")).select("x.*").where("type is not null")
+    counted = sides_.groupBy("side", "type", "class").agg(F.count("*").alias("n"))
+    by_class = counted.groupBy("side", "class").agg(F.sum("n").alias("n")).withColumn("type", F.lit("ALL"))
+    total = by_class.groupBy("side").agg(F.sum("n").alias("n")).withColumns({"type": F.lit("ALL"), "class": F.lit("ALL")})
+    return counted.unionByName(by_class).unionByName(total)
+
+
+def confusion(rows: DataFrame) -> DataFrame:
+    """Pairs by gold and predicted type: exact and boundary pairs on the diagonal, the empty sign for the missing side."""
+    return rows.groupBy(F.coalesce("g_type", F.lit("∅")).alias("gold_type"), F.coalesce("p_type", F.lit("∅")).alias("pred_type")).agg(F.count("*").alias("n"))
+
+
+def top_errors(rows: DataFrame, docs: DataFrame, side: str, n: int = 50, width: int = 20, key: str = "doc_id") -> DataFrame:
+    """The ``n`` errors of each type on one side (fn or fp): surfaces that err most often first, then by document and place.
 
-    Exact pairs leave first (an equi-join); then same-type overlaps, then other
-    overlaps, each gold with its largest overlap and each prediction once.
+    With the surface, ``width`` characters on either side, the class and the type of the other side.
     """
-    g = gold.select(F.col(key).alias("k"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("type").alias("g_type"))
-    p = pred.select(F.col(key).alias("k"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("type").alias("p_type"))
-    flags = sides(gold, pred, [key, "start", "end", "type"])
-    exact = flags.where("g = 1 and p = 1").select(F.col(key).alias("k"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("type").alias("g_type"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("type").alias("p_type"), F.lit("EXACT").alias("class"))
-    left = flags.where("g = 1 and p = 0").select(F.col(key).alias("k"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("type").alias("g_type"))
-    right = flags.where("g = 0 and p = 1").select(F.col(key).alias("k"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("type").alias("p_type"))
-    touch = left.join(right, (left["k"] == right["k"]) & (F.col("g_start") < F.col("p_end")) & (F.col("p_start") < F.col("g_end"))).select(left["k"], *g.columns[1:], *p.columns[1:])
-    size = F.least("g_end", "p_end") - F.greatest("g_start", "p_start")
-    out, parts = [exact], touch
-    for name, test in (("BOUNDARY", "g_type = p_type"), ("TYPE_MISMATCH", "g_type <> p_type")):
-        best = parts.where(test).groupBy(*g.columns).agg(F.max(F.struct(size, -F.col("p_start"), -F.col("p_end"), "p_type")).alias("b"))
-        best = best.select(*g.columns, (-F.col("b.col2")).alias("p_start"), (-F.col("b.col3")).alias("p_end"), F.col("b.p_type").alias("p_type"))
-        once = best.groupBy(*p.columns).agg(F.min(F.struct("g_start", "g_end", "g_type")).alias("a")).select("k", "a.*", *p.columns[1:])
-        out.append(once.withColumn("class", F.lit(name)))
-        parts = parts.join(once, g.columns, "left_anti").join(once, p.columns, "left_anti")
-    paired = reduce(DataFrame.unionByName, out)
-    miss = left.join(paired, g.columns, "left_anti").withColumns({"p_start": F.lit(None).cast("long"), "p_end": F.lit(None).cast("long"), "p_type": F.lit(None).cast("string"), "class": F.lit("MISS")})
-    extra = right.join(paired, p.columns, "left_anti").withColumns({"g_start": F.lit(None).cast("long"), "g_end": F.lit(None).cast("long"), "g_type": F.lit(None).cast("string"), "class": F.lit("HALLUCINATION")})
-    return paired.unionByName(miss).unionByName(extra).withColumnRenamed("k", key)
+    if side not in ("fn", "fp"):
+        raise ValueError(f"side must be fn or fp: {side}")
+    mine, other = ("g", "p") if side == "fn" else ("p", "g")
+    start, end = F.col(f"{mine}_start"), F.col(f"{mine}_end")
+    wrong = rows.where(f"class <> 'EXACT' and {mine}_type is not null").join(docs.select(key, "text"), key)
+    left, right = context(F.col("text"), start, end, width)
+    shown = wrong.select(key, F.col(f"{mine}_type").alias("type"), surface(F.col("text"), start, end).alias("surface"), left.alias("left"), right.alias("right"), "class", F.coalesce(f"{other}_type", F.lit("∅")).alias("counter"), start.alias("start"), end.alias("end"))
+    often = shown.groupBy("type", "surface").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("type").orderBy(F.desc("n"), key, "start", "end", "class", "counter")
+    return shown.join(often, ["type", "surface"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= n)
+
+
+def dirty(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents with at least one error, and how many on each side."""
+    fn, fp = F.count_if((F.col("class") != "EXACT") & F.col("g_type").isNotNull()), F.count_if((F.col("class") != "EXACT") & F.col("p_type").isNotNull())
+    return rows.groupBy(key).agg(fn.alias("fn"), fp.alias("fp")).where("fn > 0 or fp > 0")
+
+
+def review_sample(rows: DataFrame, ratio: float = 0.1, least: int = 3, seed: int = 42, key: str = "doc_id") -> DataFrame:
+    """Erring documents to review: the first ``least`` of each type in seeded order, then others up to the share ``ratio`` of them.
+
+    Own deterministic order: by a portable hash, not by a generator that walks the documents.
+    """
+    wrong = rows.where("class <> 'EXACT'")
+    types = wrong.select(key, F.explode(F.array_compact(F.array("g_type", "p_type"))).alias("type")).distinct()
+    hashed = types.withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))))
+    first = hashed.withColumn("r", F.row_number().over(Window.partitionBy("type").orderBy("h", key))).where(F.col("r") <= least)
+    must = first.select(key).distinct().withColumn("must", F.lit(1))
+    docs = hashed.select(key, "h").distinct().join(must, key, "left").withColumn("must", F.coalesce("must", F.lit(0)))
+    # the least hash that is still taken: two numbers reach the driver
+    total, sure = docs.agg(F.count("*"), F.sum("must")).first()
+    more = max(1, round(total * ratio)) - (sure or 0)
+    if more <= 0:
+        return docs.where("must = 1").select(key)
+    filled = docs.where("must = 0").orderBy("h", key).limit(more)
+    return docs.where("must = 1").select(key).unionByName(filled.select(key))
+
+
+def review_records(rows: DataFrame, docs: DataFrame, chosen: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per error of the chosen documents, with blank columns for the reviewer."""
+    wrong = rows.where("class <> 'EXACT'").join(chosen.select(key), key, "left_semi").join(docs.select(key, "text"), key)
+    sides_ = F.explode(F.array_compact(F.array(F.when(F.col("g_type").isNotNull(), F.lit("fn")), F.when(F.col("p_type").isNotNull(), F.lit("fp"))))).alias("side")
+    blanks = [F.lit("").alias("verdict"), F.lit("").alias("corrected_label"), F.lit(None).cast("long").alias("corrected_start"), F.lit(None).cast("long").alias("corrected_end"), F.lit("").alias("note")]
+    return wrong.select(key, "text", sides_, "class", *[f"{s}_{c}" for s in "gp" for c in ("start", "end", "type")], *blanks)
+
+
+def same_documents(gold: DataFrame, pred: DataFrame, key: str = "doc_id") -> None:
+    """Raise unless both tables list the same documents."""
+    a, b = gold.select(F.col(key).alias("k"), F.lit(1).alias("a")).distinct(), pred.select(F.col(key).alias("k"), F.lit(1).alias("b")).distinct()
+    lost, extra = a.join(b, "k", "full").agg(F.count_if(F.col("b").isNull()), F.count_if(F.col("a").isNull())).first()
+    if lost or extra:
+        raise ValueError(f"documents differ: {lost} without predictions, {extra} without gold")
+
+
+def text_match_relaxed(gold: DataFrame, pred: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Agreement by containment of surfaces without spaces, one to one, per type."""
+    return rated(matching.containment_counts(gold, pred, key))
 
 
 def text_match_exact(gold: DataFrame, pred: DataFrame, key: str = "doc_id") -> DataFrame:
     """Multiset agreement of (document, surface without spaces, type)."""
-    norm = F.replace(F.trim("surface"), F.lit(" "), F.lit("")).alias("surface")
+    norm = plain_surface(F.col("surface")).alias("surface")
     side = lambda df, g, p: df.select(key, norm, "type", F.lit(g).alias("g"), F.lit(p).alias("p"))
     counts = side(gold, 1, 0).unionByName(side(pred, 0, 1)).groupBy(key, "surface", "type").agg(F.sum("g").alias("g"), F.sum("p").alias("p"))
     return rated(counts.groupBy("type").agg(F.sum(F.least("g", "p")).alias("tp"), F.sum("p").alias("n_pred"), F.sum("g").alias("n_gold")))
@@ -102,22 +161,34 @@ def apply_thresholds(pred: DataFrame, cuts: dict[str, float]) -> DataFrame:
     return pred.where(least.isNull() | F.col("score").isNull() | (F.col("score") >= least))
 
 
+def best_scores(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Distinct predicted spans with their best score (1 where there is none) and whether they are gold."""
+    span = ["doc_id", "start", "end", "type"]
+    best = pred.groupBy(*span).agg(F.max(F.coalesce("score", F.lit(1.0))).alias("score"))
+    return best.join(gold.select(*span, F.lit(True).alias("hit")).distinct(), span, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+
+
 def fit_thresholds(gold: DataFrame, pred: DataFrame, target: float = 0.93, sweeps: int = 6) -> dict[str, float]:
     """Coordinate ascent over at most 121 candidate cuts per type, on the driver.
 
-    What is collected has one row per (type, candidate), whatever the data's size.
+    Spans are counted by type and score; each count falls between two candidates,
+    so what is collected has one row per (type, candidate), whatever the data's size.
     """
-    spans = pred.groupBy("doc_id", "start", "end", "type").agg(F.max("score").alias("score"))
-    marked = spans.join(gold.select("doc_id", "start", "end", "type", F.lit(1).alias("hit")).distinct(), ["doc_id", "start", "end", "type"], "left")
+    spark = pred.sparkSession
+    counts = best_scores(gold, pred).groupBy("type", "score").agg(F.count("*").alias("n"), F.count_if("hit").alias("tp"))
     ranks = [0.98 * i / 119 for i in range(120)]
-    cand = marked.groupBy("type").agg(F.percentile("score", F.array(*[F.lit(q) for q in ranks])).alias("q")).collect()
+    cand = counts.groupBy("type").agg(F.percentile("score", F.array(*[F.lit(q) for q in ranks]), F.col("n")).alias("q")).collect()
     cuts = {r["type"]: sorted({0.0, *r["q"]}) for r in cand}
-    table = {t: [] for t in cuts}
-    levels = marked.sparkSession.createDataFrame([(t, i, float(c)) for t, cs in cuts.items() for i, c in enumerate(cs)], "type string, i int, cut double")
-    steps = marked.join(F.broadcast(levels), "type").where(F.col("score") >= F.col("cut")).groupBy("type", "i").agg(F.count("*").alias("n"), F.sum(F.coalesce("hit", F.lit(0))).alias("tp"))
-    got = {(r["type"], r["i"]): (r["n"], r["tp"]) for r in steps.collect()}
-    for t, cs in cuts.items():
-        table[t] = [got.get((t, i), (0, 0)) for i in range(len(cs))]
+    table = {t: [(0, 0)] * len(c) for t, c in cuts.items()}
+    if cuts:
+        levels = spark.createDataFrame([(t, [float(c) for c in cs]) for t, cs in cuts.items()], "type string, cuts array<double>")
+        place = F.size(F.filter("cuts", lambda c: c <= F.col("score"))) - 1
+        for t, i, n, tp in counts.join(F.broadcast(levels), "type").groupBy("type", place.alias("i")).agg(F.sum("n"), F.sum("tp")).collect():
+            if i >= 0:
+                table[t][i] = (n, tp)
+        for t, rows in table.items():  # from counts between two cuts to counts at or over each
+            for i in range(len(rows) - 2, -1, -1):
+                table[t][i] = (rows[i][0] + rows[i + 1][0], rows[i][1] + rows[i + 1][1])
     total = gold.select("doc_id", "start", "end", "type").distinct().count()
 
     def value(choice: dict[str, int]) -> float:

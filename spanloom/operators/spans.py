@@ -2,14 +2,51 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def tokens(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Tokens between single spaces, with their number and start; one shuffle by document."""
-    parts = docs.select("*", F.posexplode(F.split("text", " ")).alias("tok", "word")).drop("text")
-    before = Window.partitionBy(key).orderBy("tok").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn("start", F.coalesce(F.sum(F.length("word") + 1).over(before), F.lit(0)).cast("long"))
+    """Tokens between single spaces, with their number and start; null texts have none.
+
+    A token's place follows from the lengths before it in its own row, so whole
+    Arrow batches are split and summed at once and nothing is shuffled.
+    """
+    names = [f"`{c}`" for c in docs.columns if c != "text"]
+    rows = docs.select(*names, "text").where("text is not null")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
+
+    def split(batches):
+        for batch in batches:
+            words = pc.split_pattern(batch.column(len(names)), " ")
+            of, flat = pc.list_parent_indices(words), pc.list_flatten(words)
+            size = pc.utf8_length(flat).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            first = np.cumsum(np.bincount(of.to_numpy(), minlength=len(batch))) - np.bincount(of.to_numpy(), minlength=len(batch))
+            at, before = of.to_numpy(), np.cumsum(size) - size
+            begin = first[at]
+            columns = [batch.column(i).take(of) for i in range(len(names))]
+            places = [pa.array((np.arange(len(at)) - begin).astype(np.int32)), flat.cast(pa.string()), pa.array(before - before[begin])]
+            yield pa.RecordBatch.from_arrays(columns + places, [n.strip("`") for n in names] + ["tok", "word", "start"])
+
+    return rows.mapInArrow(split, f"{kinds}, tok int, word string, start long")
+
+
+WIDTH = 64  #: characters of the stretches by which spans and tokens meet
+
+
+def touching(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join of ``left`` (key, start, stop) with ``right`` (k, s, e) where both share a character.
+
+    Both are dealt by document and stretch of text, so a document is never met with itself
+    span by span; the stretch where the overlap begins gives the pair, once.
+    """
+    spread = lambda a, b: F.explode(F.sequence(F.floor(a / WIDTH), F.floor((F.greatest(b, a + 1) - 1) / WIDTH)))
+    x = left.withColumn("_at", spread(F.col("start"), F.col("stop")))
+    y = right.withColumn("_in", spread(F.col("s"), F.col("e")))
+    met = x.join(y, (x[key] == y["k"]) & (x["_at"] == y["_in"]) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("stop")))
+    return met.where(F.floor(F.greatest("start", "s") / WIDTH) == F.col("_at")).drop("_at", "_in")
 
 
 def overlap(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
@@ -24,13 +61,18 @@ def pair_class(gold: str = "g", pred: str = "p") -> Column:
     return F.when(exact, "EXACT").when(same & touch, "BOUNDARY").when(touch, "TYPE_MISMATCH").otherwise("UNRELATED")
 
 
-def bio_encode(toks: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Tokens with B-/I-/O tags: a token inside a span takes its type, the earliest span wins."""
+def bio_encode(toks: DataFrame, spans: DataFrame, key: str = "doc_id", inside: bool = False) -> DataFrame:
+    """Tokens with B-/I-/O tags: a token that shares a character with a span takes its type, the earliest span wins.
+
+    With ``inside`` the whole token must lie in the span, as sub-word labels need it.
+    """
     s = spans.select(F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"), "type")
     t = toks.withColumn("stop", F.col("start") + F.length("word"))
-    # a token holds at least one character of the span; keyed by document, the rest is a residual test
-    inside = (F.col(key) == F.col("k")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("stop")) & (F.length("word") > 0)
-    joined = t.join(s, inside, "left").groupBy(*t.columns).agg(F.min(F.struct("s", "e", "type")).alias("span"))
+    met = touching(t.where(F.length("word") > 0).select(key, "tok", "start", "stop"), s, key)
+    if inside:
+        met = met.where("s <= start and stop <= e")
+    found = met.groupBy(key, "tok").agg(F.min(F.struct("s", "e", "type")).alias("span"))
+    joined = t.join(found, [key, "tok"], "left").select(*t.columns, "span")
     again = F.lag("span").over(Window.partitionBy(key).orderBy("tok"))
     tag = F.when(F.col("span.s").isNull(), "O").when(again.eqNullSafe(F.col("span")), F.concat(F.lit("I-"), F.col("span.type"))).otherwise(F.concat(F.lit("B-"), F.col("span.type")))
     return joined.withColumn("tag", tag).drop("span")
