@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
+from .rowwise import rowwise
+
 #: fixed values: script ranges, in order of precedence
 KANA_RANGES = ((0x3040, 0x309F), (0x30A0, 0x30FF), (0x31F0, 0x31FF), (0xFF66, 0xFF9D))
 HANGUL_RANGES = ((0x1100, 0x11FF), (0x3130, 0x318F), (0xA960, 0xA97F), (0xAC00, 0xD7A3), (0xD7B0, 0xD7FF), (0xFFA0, 0xFFDC))
@@ -207,18 +210,22 @@ def characters(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
-def folded(text: Column) -> Column:
-    """Struct (text, index): trimmed, runs of white space as one space, and for each character its place in the original.
+def fold(text: str) -> tuple[str, list[int]]:
+    """Trimmed, runs of white space as one space, and for each character its place in the original; a space stands for its run's last character."""
+    chars, index = [], []
+    for m in re.finditer(r"(\s+)|\S+", text):
+        if m[1] is None:
+            chars.append(m[0])
+            index += range(*m.span())
+        elif chars and m.end() < len(text):
+            chars.append(" ")
+            index.append(m.end() - 1)
+    return "".join(chars), index
 
-    The space of a run stands for the run's last character.
-    """
-    chars = characters(text)
-    blank = lambda c: c.rlike(r"(?U)^\s$")
-    lead = F.length(text) - F.length(F.regexp_replace(text, r"(?U)^\s+", ""))
-    placed = F.transform(chars, lambda c, i: F.struct(c.alias("c"), i.alias("i"), blank(c).alias("b")))
-    ends = lambda x: F.coalesce(~F.get(placed, x["i"] + 1)["b"], F.lit(False))
-    kept = F.filter(placed, lambda x: ~x["b"] | ((x["i"] >= lead) & ends(x)))
-    return F.struct(F.array_join(F.transform(kept, lambda x: F.when(x["b"], F.lit(" ")).otherwise(x["c"])), "").alias("text"), F.transform(kept, lambda x: x["i"]).alias("index"))
+
+def folded(text: Column) -> Column:
+    """Struct (text, index) by ``fold``; null counts as empty."""
+    return rowwise(lambda t: dict(zip(("text", "index"), fold(t or ""))), "struct<text:string,index:array<int>>")(text)
 
 
 def unfold(index: Column, start: Column, end: Column, size: Column) -> tuple[Column, Column]:
@@ -254,10 +261,4 @@ def lang_summary(langs: Column) -> Column:
 
 def nfc(text: Column) -> Column:
     """Canonical composition; there is no built-in for it, so batches of texts are composed in Python."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def compose(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
-
-    return compose(text)
+    return rowwise(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t), "string")(text)

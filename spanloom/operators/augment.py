@@ -1,124 +1,122 @@
-"""Synthetic personal data by seeded hash draws, suffix injection, hardening and statistics."""
+"""Injection of synthetic personal data, hardening of unlabelled shapes, statistics, verification."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: own neutral lists
-FIRST = ["Alda", "Boris", "Cleo", "Dario", "Edda", "Fynn", "Greta", "Hugo", "Iris", "Jonas"]
-LAST = ["Abel", "Brandt", "Costa", "Duval", "Egger", "Falk", "Grau", "Hain"]
-STREETS = ["Elm Street", "Harbor Road", "Mill Lane", "Station Road", "Park Avenue"]
-DOMAINS = ["example.com", "example.org", "example.net"]
-CONNECTORS = {"en": " Contact: ", "ja": " 連絡先: ", "ko": " 연락처: ", "vi": " Liên hệ: "}
-LABELS = ("PER", "LOC", "DAT", "EMAIL", "PHONE", "ID_NUM", "CREDIT_CARD")
-DENSITY = {0: 0.1, 1: 0.4, 2: 0.3, 3: 0.2}
-
-
-def draw(seed: int, key: Column, name: str, n: int) -> Column:
-    """A number in [0, n) from a portable hash of (seed, key, name)."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), F.lit(name))), 1, 8), 16, 10).cast("long")
-    return h % n
-
-
-def digits(seed: int, key: Column, name: str, n: int) -> Column:
-    return F.concat(*[draw(seed, key, f"{name}{i}", 10).cast("string") for i in range(n)])
-
-
-def pick(seed: int, key: Column, name: str, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(seed, key, name, len(values)) + 1).cast("int"))
-
+from ..functions.text import merge_label, regex_spans, trim_all
+from .generators import LABELS, LOCALES, draw, value
 
-def card(seed: int, key: Column) -> Column:
-    """16 digits in groups of four, without a check digit."""
-    sep = pick(seed, key, "cs", [" ", "-", ""])
-    return F.concat_ws("", F.lit("4"), digits(seed, key, "c0", 3), sep, digits(seed, key, "c1", 4), sep, digits(seed, key, "c2", 4), sep, digits(seed, key, "c3", 4))
+#: own connecting words, by language
+CONNECTORS = {"en": (" Contact: ", "."), "ja": (" 連絡先: ", "。"), "ko": (" 연락처: ", "."), "vi": (" Liên hệ: ", ".")}
+#: fixed values: how many values a record gets, and by which names merged labels go
+DENSITY = {0: 0.2, 1: 0.4, 2: 0.3, 3: 0.1}
+MERGED = {"NAME": "PER", "ADDRESS": "LOC"}
+ENTITIES = "array<struct<label:string,start_char:int,end_char:int,text:string>>"
 
 
-def local_part(seed: int, key: Column) -> Column:
-    """E-mail local parts in six forms by weight."""
-    a, b, at = F.lower(pick(seed, key, "f", FIRST)), F.lower(pick(seed, key, "l", LAST)), draw(seed, key, "form", 100)
-    form = (
-        F.when(at < 30, F.concat(a, F.lit("."), b)).when(at < 52, F.concat(a, b)).when(at < 72, a)
-        .when(at < 87, F.concat(F.substring(a, 1, 1), b)).when(at < 95, F.concat(a, F.lit("_"), b)).otherwise(F.concat(a, F.lit("-"), b))
-    )
-    return F.when(draw(seed, key, "num", 100) < 26, F.concat(form, digits(seed, key, "n", 2))).otherwise(form)
-
-
-def rrn_check(first12: Column, wrong: bool = True) -> Column:
-    """Check digit of a registration number, one off where it must not be valid."""
-    weights = F.array(*[F.lit(w) for w in (2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5)])
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(12)), F.lit(0), lambda s, i: s + F.substr(first12, i, F.lit(1)).cast("int") * F.element_at(weights, i))
-    right = (11 - total % 11) % 10
-    return ((right + 1) % 10) if wrong else right
-
-
-def value_of(label: Column, seed: int, key: Column) -> Column:
-    """A synthetic value of a label; unknown labels raise."""
-    return (
-        F.when(label == "PER", F.concat(pick(seed, key, "f", FIRST), F.lit(" "), pick(seed, key, "l", LAST)))
-        .when(label == "LOC", F.concat((draw(seed, key, "no", 200) + 1).cast("string"), F.lit(" "), pick(seed, key, "st", STREETS)))
-        .when(label == "DAT", F.concat((1950 + draw(seed, key, "y", 56)).cast("string"), F.lit("-"), F.lpad((1 + draw(seed, key, "m", 12)).cast("string"), 2, "0"), F.lit("-"), F.lpad((1 + draw(seed, key, "d", 28)).cast("string"), 2, "0")))
-        .when(label == "EMAIL", F.concat(local_part(seed, key), F.lit("@"), pick(seed, key, "dom", DOMAINS)))
-        .when(label == "PHONE", F.concat(F.lit("555-01"), digits(seed, key, "p", 2)))
-        .when(label == "ID_NUM", F.concat(F.lit("9"), digits(seed, key, "i", 2), F.lit("-"), digits(seed, key, "j", 2), F.lit("-"), digits(seed, key, "k", 4)))
-        .when(label == "CREDIT_CARD", card(seed, key))
-        .otherwise(F.raise_error(F.concat(F.lit("unknown label: "), label)).cast("string"))
-    )
+def check_density(density: dict[int, float]) -> dict[int, float]:
+    """The density, if it is not empty, nowhere negative and sums to 1."""
+    if not density or min(density.values()) < 0 or abs(sum(density.values()) - 1) > 1e-6:
+        raise ValueError("density must not be empty, must be non-negative and sum to 1")
+    return density
 
 
 def count_drawn(seed: int, key: Column, density: dict[int, float] | None = None) -> Column:
     """How many values a record gets: weights by cumulative share of 10,000."""
-    density = density or DENSITY
-    if min(density.values()) < 0 or abs(sum(density.values()) - 1) > 1e-6:
-        raise ValueError("density must be non-negative and sum to 1")
+    density = check_density(DENSITY if density is None else density)
     at, total, out = draw(seed, key, "density", 10_000), 0.0, None
     for k, p in sorted(density.items()):
         total += p
-        test, value = at < round(total * 10_000), F.lit(k)
-        out = F.when(test, value) if out is None else out.when(test, value)
+        test, many = at < round(total * 10_000), F.lit(k)
+        out = F.when(test, many) if out is None else out.when(test, many)
     return out.otherwise(F.lit(max(density)))
 
 
 def truncate_density(density: dict[int, float], most: int) -> dict[int, float]:
+    """The density without counts over ``most``, summing to 1 again; nothing left gives no values."""
     kept = {k: p for k, p in density.items() if k <= most}
     total = sum(kept.values())
     return {k: p / total for k, p in kept.items()} if total > 0 else {0: 1.0}
 
 
-def inject(records: DataFrame, seed: int, lang: str = "en", key: str = "doc_id", density: dict[int, float] | None = None) -> DataFrame:
-    """Records with values appended to the text and their offsets in ``entities``; other columns stay."""
-    if lang not in CONNECTORS:
+def drawn_values(key: Column, seed: int, lang: str, labels=LABELS, density: dict[int, float] | None = None) -> Column:
+    """The values (type, text) that a record gets: as many labels as drawn, without repetition, in the order of a hash."""
+    ranked = F.array_sort(F.array(*[F.struct(draw(seed, key, f"rank{x}", 1 << 30).alias("r"), F.lit(x).alias("type"), value(x, lang, seed, key).alias("text")) for x in labels]))
+    return F.transform(F.slice(ranked, F.lit(1), count_drawn(seed, key, density)), lambda x: F.struct(x["type"], x["text"]))
+
+
+def inject(records: DataFrame, seed: int, lang: str = "en", key: str = "doc_id", density: dict[int, float] | None = None, merge: dict[str, str] | None = None) -> DataFrame:
+    """Records with values appended to the text, their places after those in ``entities``; other columns stay.
+
+    A text that does not end a sentence gets a mark first, whether values follow or
+    not; an empty one gets none.  All places are checked against the text: one that
+    does not hold its surface raises.
+    """
+    if lang not in LOCALES:
         raise ValueError(f"unknown language: {lang}")
-    k = F.col(key)
-    ranked = F.array_sort(F.array(*[F.struct(draw(seed, k, f"rank{x}", 1 << 30).alias("r"), F.lit(x).alias("label"), value_of(F.lit(x), seed, F.concat(k.cast("string"), F.lit(x))).alias("value")) for x in LABELS]))
-    chosen = records.withColumn("_take", F.slice(ranked, F.lit(1), count_drawn(seed, k, density)))
-    base = F.rtrim("text")
-    ended = F.when(base.rlike(r"[.!?。]$"), base).otherwise(F.concat(base, F.lit(".")))
-    kind = "array<struct<label:string,start_char:int,end_char:int,text:string>>"
-    link = CONNECTORS[lang]
-    state = F.struct(ended.alias("text"), F.array().cast(kind).alias("out"))
+    had = F.col("entities").cast(ENTITIES) if "entities" in records.columns else F.array().cast(ENTITIES)
+    chosen = records.withColumn("_take", drawn_values(F.col(key), seed, lang, density=density))
+    base = F.coalesce("text", F.lit(""))
+    ended = F.when((base == "") | base.rlike("[。.!?！？]$"), base).otherwise(F.concat(base, F.lit("。" if lang == "ja" else ".")))
+    before, after = CONNECTORS[lang]
+    state = F.struct(ended.alias("text"), had.alias("out"))
 
     def step(a: Column, x: Column) -> Column:
-        s = (F.length(a["text"]) + len(link)).cast("int")
-        e = F.struct(x["label"].alias("label"), s.alias("start_char"), (s + F.length(x["value"])).cast("int").alias("end_char"), x["value"].alias("text"))
-        return F.struct(F.concat(a["text"], F.lit(link), x["value"], F.lit(".")).alias("text"), F.concat(a["out"], F.array(e)).alias("out"))
+        s = (F.length(a["text"]) + len(before)).cast("int")
+        e = F.struct(x["type"].alias("label"), s.alias("start_char"), (s + F.length(x["text"])).cast("int").alias("end_char"), x["text"].alias("text"))
+        return F.struct(F.concat(a["text"], F.lit(before), x["text"], F.lit(after)).alias("text"), F.array_append(a["out"], e).alias("out"))
 
-    done = chosen.withColumn("_done", F.aggregate("_take", state, step))
-    return done.withColumn("text", F.when(F.size("_take") > 0, F.col("_done.text")).otherwise(F.col("text"))).withColumn("entities", F.col("_done.out")).drop("_take", "_done")
+    done = chosen.withColumn("_done", F.aggregate("_take", state, step)).withColumn("text", F.col("_done.text"))
+    merged = F.transform("_done.out", lambda e: F.struct(merge_label(e["label"], MERGED if merge is None else merge).alias("label"), e["start_char"].alias("start_char"), e["end_char"].alias("end_char"), e["text"].alias("text")))
+    wrong = F.exists("entities", lambda e: F.substr(F.col("text"), e["start_char"] + 1, e["end_char"] - e["start_char"]) != e["text"])
+    return done.withColumn("entities", merged).withColumn("entities", F.when(~wrong, F.col("entities")).otherwise(F.raise_error(F.lit("an entity does not stand at its place")).cast(ENTITIES))).drop("_take", "_done")
 
 
 #: fixed values: shapes that count as a card or as an id wherever they stand
-HARDEN = (("CREDIT_CARD", r"(?<![0-9])(?:[0-9]{4}[ -]{1,2}[0-9]{4}[ -]{1,2}[0-9]{4}[ -]{1,2}[0-9]{4}|[0-9]{13,19})(?![0-9])"), ("ID_NUM", r"(?<![0-9])[0-9]{12}(?![0-9])"))
+HARDEN = (
+    ("CREDIT_CARD", r"(?U)(?<!\d)(?:\d{4}[ -]{1,2}\d{4}[ -]{1,2}\d{4}[ -]{1,2}\d{4}|\d{13,19})(?!\d)"),
+    ("ID_NUM", r"(?U)(?<![\d-])(?:\d{4}[ -]{1,2}\d{4}[ -]{1,2}\d{4}|\d{12})(?![\d]|[ -]{1,2}\d{4})"),
+)
+PLACED = "array<struct<text:string,type:string,start:int,end:int>>"
+
+
+def hardened(text: Column, spans: Column) -> Column:
+    """``spans`` with unlabelled card and id shapes added, by start; cards first, nothing that overlaps what is there."""
+    out = spans
+    for label, pattern in HARDEN:
+        found = F.transform(regex_spans(text, pattern), lambda m: F.struct(m["m"].alias("text"), F.lit(label).alias("type"), m["s"].alias("start"), m["e"].alias("end")))  # noqa: B023
+        held = out
+        free = F.filter(found, lambda m: ~F.exists(held, lambda o: (m["start"] < o["end"]) & (o["start"] < m["end"])))  # noqa: B023
+        out = F.concat(out, F.when(text.rlike(pattern), free).otherwise(F.array().cast(PLACED)))
+    return F.array_sort(out, lambda a, b: (a["start"] - b["start"]).cast("int"))
 
 
-def harden(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Spans of unlabelled card and id shapes; cards first, ids only where no card overlaps."""
-    from ..functions.text import regex_spans
+def harden(docs: DataFrame, spans: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """Spans of unlabelled card and id shapes; cards first, ids only where no card overlaps, neither on a span that is there."""
+    from .spans import touching
 
-    parts = [docs.where(F.col("text").rlike(p)).select(key, F.lit(label).alias("type"), F.explode(regex_spans(F.col("text"), p)).alias("x")) for label, p in HARDEN]
-    return reduce(DataFrame.unionByName, parts).select(key, F.col("x.s").cast("long").alias("start"), F.col("x.e").cast("long").alias("end"), "type", F.col("x.m").alias("surface"))
+    places = lambda df: df.select(F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
+
+    def clear(found: DataFrame, held: DataFrame) -> DataFrame:
+        met = touching(found.select(key, "start", F.col("end").alias("stop")), places(held), key).select(key, "start", F.col("stop").alias("end")).distinct()
+        return found.join(met, [key, "start", "end"], "left_anti")
+
+    out = []
+    for label, pattern in HARDEN:
+        rows = docs.where(F.col("text").rlike(pattern)).select(key, F.explode(regex_spans(F.col("text"), pattern)).alias("x"))
+        found = rows.select(key, F.col("x.s").cast("long").alias("start"), F.col("x.e").cast("long").alias("end"), F.lit(label).alias("type"), F.col("x.m").alias("surface"))
+        for held in [*out, *([spans] if spans is not None else [])]:
+            found = clear(found, held)
+        out.append(found)
+    return out[0].unionByName(out[1])
+
+
+def label_stats(records: DataFrame) -> DataFrame:
+    """Per label: entities, characters under them, and their share of all characters; records with ``text`` and ``entities``."""
+    total = records.agg(F.sum(F.length("text")).alias("chars"))
+    rows = records.select(F.explode("entities").alias("e")).groupBy(F.col("e.label").alias("label")).agg(F.count("*").alias("count"), F.sum(F.col("e.end_char") - F.col("e.start_char")).alias("char_coverage"))
+    return rows.crossJoin(F.broadcast(total)).select("label", "count", "char_coverage", F.when(F.col("chars") > 0, F.col("char_coverage") / F.col("chars")).otherwise(F.lit(0.0)).alias("char_ratio"))  # one row
 
 
 def corpus_stats(docs: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -131,66 +129,79 @@ def corpus_stats(docs: DataFrame, spans: DataFrame, key: str = "doc_id") -> Data
     )
 
 
-def verify_outcomes(gold: DataFrame, pred: DataFrame, labels: list[str], key: str = "doc_id") -> DataFrame:
-    """One row per gold entity: confirmed, conflict (another type), missed or exempt.
-
-    Exact surfaces meet by an equi-join on (document, surface, rank among equals),
-    so each prediction is used once.
-    """
-    from pyspark.sql import Window
-
-    num = lambda df: df.withColumn("r", F.row_number().over(Window.partitionBy(key, "surface").orderBy("start")))
-    p = num(pred).select(F.col(key).alias("k"), F.col("surface").alias("s"), F.col("r").alias("pr"), F.col("type").alias("pred_type"))
-    g = num(gold)
-    j = g.join(p, (g[key] == p["k"]) & (g["surface"] == p["s"]) & (g["r"] == p["pr"]), "left")
-    outcome = F.when(~F.col("type").isin(labels), "exempt").when(F.col("pred_type").isNull(), "missed").when(F.col("pred_type") == F.col("type"), "confirmed").otherwise("conflict")
-    return j.select(key, "start", "end", "type", "surface", "pred_type", outcome.alias("outcome"))
-
-
-def verify_matched(gold: DataFrame, pred: DataFrame, labels: list[str], key: str = "doc_id") -> DataFrame:
-    """As ``verify_outcomes``, with both passes of the matching.
+def verify_outcomes(gold: DataFrame, pred: DataFrame, labels: list[str] | None, key: str = "doc_id") -> DataFrame:
+    """One row per gold entity: confirmed, conflict (another type), missed or exempt (a label outside ``labels``; None has none).
 
     Gold entities of a record are taken in order (start, end, type); each takes the
     first unused prediction of the same trimmed surface, else the first unused one
-    within it or around it at a length ratio of 0.7 or more (as ``text_match``).
+    within it or around it at a length ratio of 0.7 or more (as ``text.text_match``).
     Exempt entities use up predictions too.  Records are the unit of work.
     """
-    import pandas as pd
-
-    def match(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        g, p = (x.sort_values(["start", "end", "type"], kind="stable") for x in (g, p))
-        texts, types = [x.strip() if isinstance(x, str) else "" for x in p["surface"]], p["type"].tolist()
-        equal: dict[str, list[int]] = {}
-        for i in range(len(texts) - 1, -1, -1):
-            equal.setdefault(texts[i], []).append(i)  # the first one stands last
-        # predictions by length, so that only lengths within the ratio are met
-        by_length: dict[int, list[int]] = {}
-        for i, t in enumerate(texts):
-            if t:
-                by_length.setdefault(len(t), []).append(i)
-        used, out = set(), []
-        for a in (x.strip() if isinstance(x, str) else "" for x in g["surface"]):
-            hit = equal[a].pop() if equal.get(a) else None
-            if hit is None and a:
-                for n in [n for n in by_length if min(n, len(a)) / max(n, len(a)) >= 0.7]:
-                    by_length[n] = [i for i in by_length[n] if i not in used]
-                    first = next((i for i in by_length[n] if a in texts[i] or texts[i] in a), None)
-                    if first is not None and (hit is None or first < hit):
-                        hit = first
-                if hit is not None:
-                    equal[texts[hit]].remove(hit)
+    fields = ["start", "end", "type", "surface"]
+    listed = lambda df, name: df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "type", trim_all(F.coalesce("surface", F.lit(""))).alias("key"), "surface"))).alias(name))
+    from .matching import over_arrays
+
+    both = listed(gold, "gs").join(listed(pred, "ps"), key, "left")
+    paired = both.withColumn("pairs", over_arrays(by_surface, F.col("gs"), F.col("ps")))
+    hit = F.filter("pairs", lambda x: x["g"] == F.col("n"))
+    rows = paired.select(key, "ps", "pairs", F.posexplode("gs").alias("n", "g")).withColumn("hit", F.get(hit, F.lit(0))["p"])
+    rows = rows.select(key, *[F.col(f"g.{c}").alias(c) for c in fields], F.get("ps", F.col("hit"))["type"].alias("pred_type"), F.col("hit").isNotNull().alias("found"))
+    exempt = F.lit(False) if labels is None else ~F.col("type").isin(labels)
+    outcome = F.when(exempt, "exempt").when(~F.col("found"), "missed").when(F.col("pred_type") == F.col("type"), "confirmed").otherwise("conflict")
+    return rows.select(key, *fields, "pred_type", outcome.alias("outcome"))
+
+
+def by_surface(golds: list[dict], preds: list[dict]) -> list[tuple[int, int, str]]:
+    """Pairs of equal surfaces, else of surfaces of which one holds the other, greedy in the order of the gold ones."""
+    texts = [p["key"] for p in preds]
+    equal: dict[str, list[int]] = {}
+    by_length: dict[int, list[int]] = {}
+    for i, t in reversed(list(enumerate(texts))):
+        equal.setdefault(t, []).append(i)  # the first one stands last
+    for i, t in enumerate(texts):
+        if t:
+            by_length.setdefault(len(t), []).append(i)
+    used, out = set(), []
+    for n, a in enumerate(g["key"] for g in golds):
+        hit = equal[a].pop() if equal.get(a) else None
+        if hit is None and a:
+            # only lengths within the ratio are met
+            for size in [s for s in by_length if min(s, len(a)) / max(s, len(a)) >= 0.7]:
+                by_length[size] = [i for i in by_length[size] if i not in used]
+                first = next((i for i in by_length[size] if a in texts[i] or texts[i] in a), None)
+                if first is not None and (hit is None or first < hit):
+                    hit = first
             if hit is not None:
-                used.add(hit)
-            out.append(hit)
-        return g.assign(pred_type=pd.Series([None if i is None else types[i] for i in out], index=g.index, dtype=object), found=[i is not None for i in out])
-
-    fields = [key, "start", "end", "type", "surface"]
-    kinds = {f.name: f.dataType.simpleString() for f in gold.select(*fields).schema}
-    schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", pred_type string, found boolean"
-    left, right = gold.select(*fields).groupBy(key), pred.select(*fields).groupBy(key)
-    j = left.cogroup(right).applyInPandas(match, schema)
-    outcome = F.when(~F.col("type").isin(labels), "exempt").when(~F.col("found"), "missed").when(F.col("pred_type") == F.col("type"), "confirmed").otherwise("conflict")
-    return j.select(*fields, "pred_type", outcome.alias("outcome"))
+                equal[texts[hit]].remove(hit)
+        if hit is not None:
+            used.add(hit)
+            out.append((n, hit, "MATCH"))
+    return out
+
+
+def verify_report(outcomes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Outcomes counted per type and in all (type ALL)."""
+    counts = [F.count_if(F.col("outcome") == x).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")]
+    per = outcomes.groupBy("type").agg(*counts)
+    return per.unionByName(per.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")]).withColumn("type", F.lit("ALL")))
+
+
+def verify_totals(outcomes: DataFrame, records: DataFrame, policy: str, key: str = "doc_id") -> DataFrame:
+    """Records in all, kept and dropped under a policy, and entities kept."""
+    kept = apply_policy(outcomes, policy, key)
+    n = records.select(key).distinct()
+    gone = outcomes.where(F.col("outcome").isin("missed", "conflict")).select(key).distinct() if policy == "drop_record" else outcomes.select(key).limit(0)
+    counts = n.agg(F.count("*").alias("total")).crossJoin(F.broadcast(gone.agg(F.count("*").alias("dropped")))).crossJoin(F.broadcast(kept.agg(F.count("*").alias("n_entities"))))  # one row each
+    return counts.select("total", (F.col("total") - F.col("dropped")).alias("kept"), "dropped", "n_entities")
+
+
+def kept_records(records: DataFrame, outcomes: DataFrame, policy: str, key: str = "doc_id") -> DataFrame:
+    """Records with the entities that a policy keeps; under drop_record those with a failed one go."""
+    kept = apply_policy(outcomes, policy, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "type", "surface"))).alias("entities"))
+    rows = records.drop("entities")
+    if policy == "drop_record":
+        rows = rows.join(outcomes.where(F.col("outcome").isin("missed", "conflict")).select(key).distinct(), key, "left_anti")
+    return rows.join(kept, key, "left").withColumn("entities", F.coalesce("entities", F.array().cast("array<struct<start:bigint,end:bigint,type:string,surface:string>>")))
 
 
 def apply_policy(outcomes: DataFrame, policy: str, key: str = "doc_id") -> DataFrame:

@@ -12,12 +12,12 @@ def prf(tp: Column, pred: Column, gold: Column) -> tuple[Column, Column, Column]
     """Precision, recall, F1 from counts; 0 where a denominator is 0."""
     p = F.when(pred > 0, tp / pred).otherwise(F.lit(0.0))
     r = F.when(gold > 0, tp / gold).otherwise(F.lit(0.0))
-    return p, r, F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    return p, r, F.when(tp > 0, 2 * tp / (pred + gold)).otherwise(F.lit(0.0))
 
 
-def rated(counts: DataFrame, tp: str = "tp", pred: str = "n_pred", gold: str = "n_gold") -> DataFrame:
-    p, r, f = prf(F.col(tp), F.col(pred), F.col(gold))
-    return counts.withColumns({"precision": F.round(p, 6), "recall": F.round(r, 6), "f1": F.round(f, 6)})
+def rated(counts: DataFrame, tp: str = "tp", pred: str = "n_pred", gold: str = "n_gold", places: int | None = 6) -> DataFrame:
+    shown = [x if places is None else F.round(x, places) for x in prf(F.col(tp), F.col(pred), F.col(gold))]
+    return counts.withColumns(dict(zip(("precision", "recall", "f1"), shown)))
 
 
 def sides(gold: DataFrame, pred: DataFrame, keys: list[str], carry: list[str] | None = None) -> DataFrame:
@@ -27,13 +27,13 @@ def sides(gold: DataFrame, pred: DataFrame, keys: list[str], carry: list[str] |
     return both.groupBy(*cols).agg(F.max("g").alias("g"), F.max("p").alias("p"))
 
 
-def strict(gold: DataFrame, pred: DataFrame, by: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Micro scores overall (type ALL) and per type, for each value of ``by``."""
+def strict(gold: DataFrame, pred: DataFrame, by: list[str] | None = None, keys: list[str] | None = None, places: int | None = 6) -> DataFrame:
+    """Micro scores overall (type ALL) and per type, for each value of ``by``; ``places`` None leaves them unrounded."""
     by, keys = by or [], keys or ["doc_id", "start", "end", "type"]
     flags = sides(gold, pred, keys, [c for c in by if c not in keys])
     counted = flags.groupBy(*by, "type").agg(F.sum(F.col("g") * F.col("p")).alias("tp"), F.sum("p").alias("n_pred"), F.sum("g").alias("n_gold"))
     total = counted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("tp", "n_pred", "n_gold")]) if by else counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "n_pred", "n_gold")])
-    return rated(counted.unionByName(total.withColumn("type", F.lit("ALL"))))
+    return rated(counted.unionByName(total.withColumn("type", F.lit("ALL"))), places=places)
 
 
 def relaxed(gold: DataFrame, pred: DataFrame, key: str = "doc_id", by: list[str] | None = None) -> DataFrame:

@@ -33,6 +33,34 @@ def tokens(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.mapInArrow(split, f"{kinds}, tok int, word string, start long")
 
 
+def pieces(docs: DataFrame, pattern: str, key: str = "doc_id") -> DataFrame:
+    """Matches of a pattern in whole texts: the key, their number, start, end and text; null texts have none."""
+    import re
+
+    find, kind = re.compile(pattern).finditer, dict(docs.dtypes)[key]
+
+    def run(batches):
+        for batch in batches:
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                found = [(*m.span(), m[0]) for m in find(text)]
+                for a in range(0, len(found), 1 << 14):  # bounded, however long the text
+                    some = found[a : a + (1 << 14)]
+                    ids = batch.column(0).take(pa.array([i] * len(some), pa.int64()))
+                    start, end, words = zip(*some)
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(range(a, a + len(some)), pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(words, pa.string())], [key, "tok", "start", "end", "word"])
+
+    return docs.select(key, "text").where("text is not null").mapInArrow(run, f"`{key}` {kind}, tok long, start long, end long, word string")
+
+
+def context_words(docs: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Words with a letter or digit that begin in no span, per document (0 where there are none)."""
+    words = pieces(docs, r"\S+", key).where(F.col("word").rlike(r"[\p{L}\p{N}]"))
+    s = spans.select(F.col(key).alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
+    inside = touching(words.select(key, "tok", "start", (F.col("start") + 1).alias("stop")), s, key).select(key, "tok").distinct()
+    n = words.join(inside, [key, "tok"], "left_anti").groupBy(key).agg(F.count("*").alias("n_context"))
+    return docs.select(key).distinct().join(n, key, "left").select(key, F.coalesce("n_context", F.lit(0).cast("long")).alias("n_context"))
+
+
 WIDTH = 64  #: characters of the stretches by which spans and tokens meet
 
 
@@ -99,7 +127,7 @@ def repair_bio(tagged: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def mask(text: Column, spans: Column, nonce: str) -> Column:
-    """The text with sorted, disjoint spans (s, e, m) replaced by numbered sentinels."""
+    """The text with sorted, disjoint spans (s, e) replaced by numbered sentinels."""
     state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit("").alias("out"))
 
     def step(a: Column, x: Column) -> Column:
@@ -109,8 +137,23 @@ def mask(text: Column, spans: Column, nonce: str) -> Column:
     return F.aggregate(spans, state, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
 
 
+def masked_value(text: Column, spans: Column, nonce: str) -> Column:
+    """``mask`` of sorted spans; raises where one lies outside the text or begins before the last one ends."""
+    outside = F.exists(spans, lambda x: (x["s"] < 0) | (x["s"] >= x["e"]) | (x["e"] > F.length(text)))
+    crossed = F.exists(spans, lambda x: F.exists(spans, lambda y: (x["s"] < y["s"]) & (y["s"] < x["e"]))) | (F.size(F.array_distinct(F.transform(spans, lambda x: x["s"]))) < F.size(spans))
+    wrong = F.when(outside, F.raise_error(F.lit("a span lies outside the text")).cast("string")).when(crossed, F.raise_error(F.lit("spans overlap")).cast("string"))
+    return F.when(outside | crossed, wrong).otherwise(mask(text, spans, nonce))
+
+
 def restore(masked: Column, values: Column, nonce: str) -> Column:
     """Sentinels back to their values (array in order); unknown sentinels of this nonce go."""
+    return restored(masked, values, nonce)["text"]
+
+
+def restored(masked: Column, values: Column, nonce: str) -> Column:
+    """Struct (text, n): ``restore``, and how many values the text held a sentinel of."""
+    sign = lambda i: F.concat(F.lit(f"【PII{nonce}_"), i.cast("string"), F.lit("】"))
     pairs = F.transform(values, lambda v, i: F.struct(i.alias("i"), v.alias("v")))
-    full = F.aggregate(pairs, masked, lambda a, x: F.replace(a, F.concat(F.lit(f"【PII{nonce}_"), x["i"].cast("string"), F.lit("】")), x["v"]))
-    return F.regexp_replace(full, f"【PII{nonce}_[0-9]+】", "")
+    state = F.struct(masked.alias("text"), F.lit(0).alias("n"))
+    full = F.aggregate(pairs, state, lambda a, x: F.struct(F.replace(a["text"], sign(x["i"]), x["v"]).alias("text"), (a["n"] + F.contains(a["text"], sign(x["i"])).cast("int")).alias("n")))
+    return F.struct(F.regexp_replace(full["text"], f"【PII{nonce}_[0-9]+】", "").alias("text"), full["n"].alias("n"))

@@ -2,26 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
 from ..operators import audit, augment, gate, metrics, serving, spans, splits
-from ..streaming import requests as streams
 from .fixture import ANNOTATIONS_SQL, TOKENS_SQL, annotation_sql, gold, pred, table, toks
-
-Q: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        Q[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import Q, SQL, query
 
 PRF = """round(CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END, 6) AS precision, round(CASE WHEN n_gold > 0 THEN tp / n_gold ELSE 0 END, 6) AS recall,
 round(CASE WHEN tp > 0 THEN 2.0 * tp / (n_pred + n_gold) ELSE 0 END, 6) AS f1"""
@@ -97,12 +83,10 @@ def bio_encode(spark, d):
     return spans.bio_encode(toks(spark, d), gold(spark, d)).groupBy("tag").agg(F.count("*").alias("n"))
 
 
-@query(f"{TOKENS_SQL} SELECT type, count(*) AS n_spans, count(*) AS n_same_start FROM gold GROUP BY type")
+@query(f"{TOKENS_SQL} SELECT doc_id, start, start + length(word) AS stop, type FROM (SELECT g.doc_id, g.start, t.word, g.type FROM gold g JOIN toks t ON g.doc_id = t.doc_id AND g.tok = t.tok)")
 def bio_decode_roundtrip(spark, d):
-    g = gold(spark, d)
-    back = spans.bio_decode(spans.bio_encode(toks(spark, d), g))
-    hits = back.join(g.select("doc_id", "start", "type", F.lit(1).alias("hit")), ["doc_id", "start", "type"], "left")
-    return hits.groupBy("type").agg(F.count("*").alias("n_spans"), F.count("hit").alias("n_same_start"))
+    """Spans that come back from tags: they begin where the gold ones do and end where the token does."""
+    return spans.bio_decode(spans.bio_encode(toks(spark, d), gold(spark, d))).select("doc_id", "start", F.col("end").alias("stop"), "type")
 
 
 @query(f"""{TOKENS_SQL}, {TAGGED}, x AS (SELECT *, lag(tag) OVER (PARTITION BY doc_id ORDER BY tok) AS prev FROM tagged)
@@ -130,7 +114,8 @@ def kfold_stratum_balance(spark, d):
 
 
 SPLIT = f"""{UNITS}, c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY md5('7|' || unit), unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM units),
-split AS (SELECT unit, n, CASE WHEN before < total * 0.1 THEN 'test' WHEN before < total * 0.2 THEN 'valid' ELSE 'train' END AS split FROM c)"""
+e AS (SELECT coalesce(max(before + n), 0) AS tested FROM c WHERE before < floor(total * 0.1)),
+split AS (SELECT unit, n, CASE WHEN before < floor(total * 0.1) THEN 'test' WHEN before - tested < floor(total * 0.1) THEN 'valid' ELSE 'train' END AS split FROM c, e)"""
 
 
 @query(f"WITH {SPLIT} SELECT split, count(*) AS n_units, CAST(sum(n) AS BIGINT) AS n_rows FROM split GROUP BY split")
@@ -165,12 +150,6 @@ def cross_fold_sibling_leak(spark, d):
     return splits.sibling_leak(r, "v", "fold", "doc_id").groupBy("fold").agg(F.count("*").alias("n"))
 
 
-@query("""WITH f AS (SELECT doc_id % 3 AS fold, count(*) - count(DISTINCT md5(text)) AS dups FROM documents GROUP BY 1) SELECT 'text' AS basis, CAST(sum(dups) AS BIGINT) AS dups FROM f""")
-def leak_basis(spark, d):
-    f = table(spark, d, "documents").groupBy((F.col("doc_id") % 3).alias("fold")).agg((F.count("*") - F.count_distinct(F.md5("text"))).alias("dups"))
-    return splits.leak_basis(f.withColumn("basis", F.element_at(F.array(F.lit("group"), F.lit("text"), F.lit("orig")), (F.col("fold") + 1).cast("int"))))
-
-
 LINE_SQL = """SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"""
 
 
@@ -201,75 +180,113 @@ def dataset_fingerprint(spark, d):
     return splits.fingerprint(table(spark, d, "documents"), "doc_id", "text")
 
 
-def run_scores(spark, d) -> DataFrame:
-    """F1 of two runs by fold and entity."""
-    g = gold(spark, d).withColumn("fold", F.col("doc_id") % 5)
-    runs = []
-    for name, modulus in (("a", 20), ("b", 25)):
-        p = pred(spark, d, modulus).withColumn("fold", F.col("doc_id") % 5)
-        runs.append(metrics.strict(g, p, ["fold"]).select(F.lit(name).alias("run"), "fold", F.col("type").alias("entity"), "f1"))
-    return runs[0].unionByName(runs[1])
+RUN_MODULI = (("a", 20), ("b", 25))
 
 
-def pooled_scores(spark, d) -> DataFrame:
-    g = gold(spark, d)
-    runs = [metrics.strict(g, pred(spark, d, m)).select(F.lit(n).alias("run"), F.col("type").alias("entity"), "f1") for n, m in (("a", 20), ("b", 25))]
-    return runs[0].unionByName(runs[1])
+def run_scores(spark, d, moduli=RUN_MODULI) -> DataFrame:
+    """Unrounded F1 of runs by fold and entity, and over all folds (fold null).
+
+    One pass over the spans of all runs; the scores are few (runs, folds and types), so they become a table of their own.
+    """
+    span = ["run", "doc_id", "fold", "start", "end", "type"]
+    side = lambda df, name: df.withColumns({"run": F.lit(name), "fold": F.col("doc_id") % 5}).select(*span)
+    flags = None
+    for name, modulus in moduli:
+        one = metrics.sides(side(gold(spark, d), name), side(pred(spark, d, modulus), name), span)
+        flags = one if flags is None else flags.unionByName(one)
+    counts = flags.groupBy("run", "fold", "type").agg(F.sum(F.col("g") * F.col("p")).alias("tp"), F.sum("p").alias("n_pred"), F.sum("g").alias("n_gold"))
+    sets = F.explode(F.array(*[F.struct(f.alias("fold"), t.alias("entity")) for f in (F.col("fold"), F.lit(None).cast("long")) for t in (F.col("type"), F.lit("ALL"))])).alias("x")
+    summed = counts.select("run", sets, "tp", "n_pred", "n_gold").groupBy("run", "x.fold", "x.entity").agg(*[F.sum(c).alias(c) for c in ("tp", "n_pred", "n_gold")])
+    rows = metrics.rated(summed, places=None).select("run", "fold", "entity", "f1")
+    return spark.createDataFrame([tuple(r) for r in rows.collect()], rows.schema)
+
+
+def by_fold(scores: DataFrame) -> DataFrame:
+    return scores.where("fold is not null")
+
+
+def pooled(scores: DataFrame) -> DataFrame:
+    return scores.where("fold is null").drop("fold")
+
+
+def shown(df: DataFrame, *names: str) -> DataFrame:
+    """The columns rounded to six places, once everything is compared."""
+    return df.withColumns({n: F.round(n, 6) for n in names})
 
 
 def _run_sql(name: str, p: str, fold: bool) -> str:
     by = "doc_id % 5 AS fold, " if fold else ""
     sets = "GROUPING SETS ((fold, type), (fold))" if fold else "GROUPING SETS ((type), ())"
-    return f"""SELECT '{name}' AS run, {'fold, ' if fold else ''}entity, round(CASE WHEN tp > 0 THEN 2.0 * tp / (n_pred + n_gold) ELSE 0 END, 6) AS f1 FROM (
- SELECT {'fold, ' if fold else ''}coalesce(type, 'ALL') AS entity, sum(g * p) AS tp, sum(p) AS n_pred, sum(g) AS n_gold FROM (
+    return f"""SELECT '{name}' AS run, {'fold, ' if fold else ''}entity, CASE WHEN tp > 0 THEN 2 * tp / (n_pred + n_gold) ELSE 0.0 END AS f1 FROM (
+ SELECT {'fold, ' if fold else ''}coalesce(type, 'ALL') AS entity, sum(g * p)::DOUBLE AS tp, sum(p)::DOUBLE AS n_pred, sum(g)::DOUBLE AS n_gold FROM (
   SELECT {by}doc_id, start, stop, type, max(g) AS g, max(p) AS p FROM (SELECT doc_id, start, stop, type, 1 AS g, 0 AS p FROM gold UNION ALL SELECT doc_id, start, stop, type, 0, 1 FROM {p}) GROUP BY ALL) GROUP BY {sets})"""
 
 
 RUNS = f"{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, scores AS ({_run_sql('a', 'pred', True)} UNION ALL {_run_sql('b', 'predb', True)})"
 POOLED = f"pooled AS ({_run_sql('a', 'pred', False)} UNION ALL {_run_sql('b', 'predb', False)})"
-DELTAS = """deltas AS (SELECT a.entity, round(avg(b.f1 - a.f1), 6) AS delta, count(*) FILTER (WHERE b.f1 > a.f1) AS wins, count(*) FILTER (WHERE b.f1 < a.f1) AS losses, count(*) AS n
+DELTAS = """deltas AS (SELECT a.entity, avg(b.f1 - a.f1) AS delta, count(*) FILTER (WHERE b.f1 > a.f1) AS wins, count(*) FILTER (WHERE b.f1 < a.f1) AS losses, count(*) AS n
  FROM scores a JOIN scores b ON a.fold = b.fold AND a.entity = b.entity AND a.run = 'a' AND b.run = 'b' GROUP BY 1)"""
+STEADY = "CASE WHEN n >= 2 THEN wins / n >= 2.0::DOUBLE / 3 END AS consistent"
+STATUS_SQL = f"""{RUNS}, {DELTAS}, {POOLED}, s AS (SELECT entity, stddev_samp(f1) AS fold_sigma FROM scores WHERE run = 'a' GROUP BY 1),
+o(entity, own) AS (VALUES ('PER', 0.0001::DOUBLE), ('LOC', NULL), ('ORG', 0.5)),
+x AS (SELECT a.entity, b.f1 - a.f1 AS dd, coalesce(own, fold_sigma) AS sigma, CASE WHEN own IS NULL THEN 'sigma_fold' ELSE 'sigma_repro' END AS band_source, wins, losses, n, {STEADY}
+ FROM pooled a JOIN pooled b ON a.entity = b.entity AND a.run = 'a' AND b.run = 'b' LEFT JOIN s ON s.entity = a.entity LEFT JOIN deltas t ON t.entity = a.entity LEFT JOIN o ON o.entity = a.entity),
+y AS (SELECT *, CASE WHEN sigma IS NULL THEN 'unknown_sigma' WHEN dd > 2 * sigma THEN 'real_gain' WHEN dd < -2 * sigma THEN 'real_regression' ELSE 'within_noise' END AS raw FROM x),
+st AS (SELECT *, CASE WHEN raw = 'real_gain' AND consistent = false THEN 'within_noise' ELSE raw END AS status FROM y)"""
 
 
 @query(f"{RUNS} SELECT run, entity, round(avg(f1), 6) AS mean, round(stddev_samp(f1), 6) AS sigma, count(*) AS n FROM scores GROUP BY ALL")
 def fold_sigma(spark, d):
-    return gate.fold_sigma(run_scores(spark, d))
+    return shown(gate.fold_sigma(by_fold(run_scores(spark, d))), "mean", "sigma")
 
 
-@query(f"{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, {POOLED} SELECT entity, round(avg(f1), 6) AS mean, round(stddev_samp(f1), 6) AS sigma, count(*) AS n FROM pooled GROUP BY 1")
+@query(f"""{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, {annotation_sql(12, 'predc')}, pooled AS ({_run_sql('a', 'pred', False)} UNION ALL {_run_sql('b', 'predb', False)} UNION ALL {_run_sql('c', 'predc', False)})
+SELECT entity, round(avg(f1), 6) AS mean, round(stddev_samp(f1), 6) AS sigma, count(*) AS n FROM pooled GROUP BY 1""")
 def repro_sigma(spark, d):
-    return gate.fold_sigma(pooled_scores(spark, d).withColumn("run", F.lit("all"))).drop("run")
+    return shown(gate.repro_sigma(pooled(run_scores(spark, d, (*RUN_MODULI, ("c", 12))))), "mean", "sigma")
 
 
-@query(f"{RUNS}, {DELTAS} SELECT *, CASE WHEN n >= 2 THEN wins / n >= 2.0 / 3 END AS consistent FROM deltas")
+@query(f"{RUNS}, {DELTAS} SELECT entity, round(delta, 6) AS delta, wins, losses, n, {STEADY} FROM deltas")
 def paired_deltas(spark, d):
-    return gate.paired_deltas(run_scores(spark, d), "a", "b")
+    return shown(gate.paired_deltas(by_fold(run_scores(spark, d)), "a", "b"), "delta")
 
 
-@query(f"""{RUNS}, {DELTAS}, {POOLED}, s AS (SELECT entity, round(stddev_samp(f1), 6) AS sigma FROM scores WHERE run = 'a' GROUP BY 1),
-x AS (SELECT a.entity, b.f1 - a.f1 AS dd, sigma, CASE WHEN n >= 2 THEN wins / n >= 2.0 / 3 END AS consistent FROM pooled a JOIN pooled b ON a.entity = b.entity AND a.run = 'a' AND b.run = 'b' LEFT JOIN s ON s.entity = a.entity LEFT JOIN deltas t ON t.entity = a.entity)
-SELECT entity, round(dd, 6) AS delta, sigma, CASE WHEN sigma IS NULL THEN 'unknown_sigma' WHEN dd > 2 * sigma THEN CASE WHEN consistent = false THEN 'within_noise' ELSE 'real_gain' END WHEN dd < -2 * sigma THEN 'real_regression' ELSE 'within_noise' END AS status FROM x""")
+OVERRIDE = [("PER", 0.0001), ("LOC", None), ("ORG", 0.5)]
+
+
+@query(f"{STATUS_SQL} SELECT entity, round(dd, 6) AS delta, round(sigma, 6) AS sigma, round(2 * sigma, 6) AS band, band_source, status, wins, losses, n, consistent, coalesce(raw <> status, false) AS downgraded FROM st")
 def gate_status(spark, d):
     s = run_scores(spark, d)
-    return gate.entity_status(gate.fold_sigma(s), pooled_scores(spark, d), gate.paired_deltas(s, "a", "b"), "a", "b")
+    measured = spark.createDataFrame(OVERRIDE, "entity string, sigma double")
+    return shown(gate.entity_status(gate.fold_sigma(by_fold(s)), pooled(s), gate.paired_deltas(by_fold(s), "a", "b"), "a", "b", override=measured), "delta", "sigma", "band")
+
+
+#: rulers, leak counters and targets of the scenarios; the scores are those of the two runs
+GATES = {
+    "clean": ({}, {}, "group", 0, "group", 0), "other_ruler": ({}, {"seed": "43"}, "group", 0, "group", 0), "lacks_field": ({}, {"stratify": "-"}, "group", 0, "group", 0),
+    "leak": ({}, {}, "group", 0, "text", 3), "weak_zero": ({}, {}, "group", 0, "text", 0), "unmeasured": ({}, {}, "none", None, "group", 0), "leak_beats_unmeasured": ({}, {}, "none", None, "orig", 1), "orig": ({}, {}, "orig", 0, "orig", 0),
+}
+TARGETS = ("PER", "LOC", "ALL", "none")
 
 
-SCENARIOS = [
-    ("clean_gain", True, 0, "group", True, "real_gain", False), ("noise", True, 0, "orig", True, "within_noise", False),
-    ("collateral", True, 0, "group", True, "real_gain", True), ("observed_leak", True, 3, "text", True, "real_gain", False),
-    ("unmeasured", True, None, "none", True, "real_gain", False), ("weak_zero", True, 0, "text", True, "real_gain", False),
-    ("ruler", False, 0, "group", True, "real_gain", False), ("missing_target", True, 0, "group", False, None, False),
-    ("regress", True, 0, "group", True, "real_regression", True), ("leak_and_missing", True, 2, "group", False, None, False),
-]
-_LIT = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else f"'{v}'"
+def _gate_sql() -> str:
+    rows = ", ".join(f"('{n}', {str(not b).lower()}, {'NULL' if da is None else da}, '{ba}', {'NULL' if db is None else db}, '{bb}')" for n, (_, b, ba, da, bb, db) in GATES.items())
+    return f"""{STATUS_SQL}, sc(scenario, comparable, da, ba, db, bb) AS (VALUES {rows}), tg(target) AS (VALUES {', '.join(f"('{t}')" for t in TARGETS)}),
+z AS (SELECT sc.*, target, (SELECT max(status) FROM st WHERE entity = target) AS ts, (SELECT count(*) FROM st WHERE entity <> target AND status = 'real_regression') AS worse FROM sc, tg),
+w AS (SELECT *, coalesce(da > 0, false) OR coalesce(db > 0, false) AS leak, coalesce(da = 0 AND ba IN ('group', 'orig'), false) AND coalesce(db = 0 AND bb IN ('group', 'orig'), false) AS clean FROM z)
+SELECT scenario, target, CASE WHEN NOT comparable OR NOT (leak OR clean) THEN 'INVALID' WHEN leak THEN 'FAIL' WHEN ts IS NULL THEN 'INVALID' WHEN ts = 'real_regression' OR worse > 0 THEN 'FAIL' WHEN ts = 'real_gain' THEN 'PASS' ELSE 'INCONCLUSIVE' END AS verdict FROM w"""
 
 
-@query(f"""WITH s(name, comparable, dups, basis, target_present, target_status, collateral) AS (VALUES {', '.join('(' + ', '.join(map(_LIT, r)) + ')' for r in SCENARIOS)})
-SELECT name, CASE WHEN NOT comparable THEN 'INVALID' WHEN dups > 0 THEN 'FAIL' WHEN dups IS NULL OR basis NOT IN ('group', 'orig') THEN 'INVALID' WHEN NOT target_present THEN 'INVALID'
- WHEN target_status = 'real_regression' OR collateral THEN 'FAIL' WHEN target_status = 'real_gain' THEN 'PASS' ELSE 'INCONCLUSIVE' END AS verdict FROM s""")
+@query(_gate_sql())
 def gate_verdict(spark, d):
-    kind = "name string, comparable boolean, dups int, basis string, target_present boolean, target_status string, collateral boolean"
-    return gate.verdict(spark.createDataFrame(SCENARIOS, kind)).select("name", "verdict")
+    """Verdicts on two scored runs under several rulers, leak counters and targets."""
+    s = run_scores(spark, d)
+    status = gate.entity_status(gate.fold_sigma(by_fold(s)), pooled(s), gate.paired_deltas(by_fold(s), "a", "b"), "a", "b", override=spark.createDataFrame(OVERRIDE, "entity string, sigma double"))
+    ruler = {"lang": "en", "data_fingerprint": "x", "kfold": "5", "group_key": None, "seed": "42", "stratify": "true"}
+    config = lambda own: {k: v for k, v in (ruler | own).items() if v != "-"}
+    rows = [(name, config(a), config(b), dups_a, basis_a, dups_b, basis_b, target) for name, (a, b, basis_a, dups_a, basis_b, dups_b) in GATES.items() for target in TARGETS]
+    cases = spark.createDataFrame(rows, "scenario string, config_a map<string,string>, config_b map<string,string>, dups_a long, basis_a string, dups_b long, basis_b string, target string")
+    return gate.judge(cases, status).select("scenario", "target", "verdict")
 
 
 CUTS = {"PER": 0.6, "ORG": 0.75, "LOC": 0.9}
@@ -336,9 +353,6 @@ def card_spans(spark, d):
     return _spans_of(spark, d, CARD)
 
 
-@query()
-def harden_collisions(spark, d):
-    return augment.harden(table(spark, d, "documents"))
 
 
 @query(f"""SELECT doc_id, len(regexp_extract_all(text, '{EMAIL}')) AS n_masked, length(regexp_replace(text, '{EMAIL}', '', 'g')) + 9 * len(regexp_extract_all(text, '{EMAIL}')) AS len_masked, true AS same
@@ -350,29 +364,22 @@ def mask_restore_identity(spark, d):
     return m.select("doc_id", F.size("sp").cast("long").alias("n_masked"), F.length("masked").cast("long").alias("len_masked"), (back == F.col("text")).alias("same"))
 
 
-@query("SELECT count(*) AS n_docs, 0::BIGINT AS n_bad FROM documents")
-def injected_offset_check(spark, d):
-    r = augment.inject(table(spark, d, "documents").select("doc_id", "text"), 11)
-    bad = F.exists("entities", lambda e: F.substr(F.col("text"), e["start_char"] + 1, e["end_char"] - e["start_char"]) != e["text"])
-    return r.agg(F.count("*").alias("n_docs"), F.count_if(bad).alias("n_bad"))
-
-
-@query()
-def inject_suffix(spark, d):
-    r = augment.inject(table(spark, d, "documents").select("doc_id", "text"), 11)
-    return r.select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.label", "e.start_char", "e.end_char", "e.text")
-
-
 @query("""WITH h AS (SELECT CAST('0x' || substr(md5('11|' || doc_id || '|density'), 1, 8) AS BIGINT) % 10000 AS slot FROM documents)
-SELECT CASE WHEN slot < 1000 THEN 0 WHEN slot < 5000 THEN 1 WHEN slot < 8000 THEN 2 ELSE 3 END AS n_drawn, count(*) AS n_docs FROM h GROUP BY 1""")
+SELECT CASE WHEN slot < 2000 THEN 0 WHEN slot < 6000 THEN 1 WHEN slot < 9000 THEN 2 ELSE 3 END AS n_drawn, count(*) AS n_docs FROM h GROUP BY 1""")
 def injection_density(spark, d):
     return table(spark, d, "documents").groupBy(augment.count_drawn(11, F.col("doc_id")).alias("n_drawn")).agg(F.count("*").alias("n_docs"))
 
 
-VERIFY = f"""{ANNOTATIONS_SQL}, gr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, surface ORDER BY start) AS r FROM gold), pr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, surface ORDER BY start) AS r FROM pred),
+VERIFY = f"""{ANNOTATIONS_SQL.replace('WITH words', 'WITH RECURSIVE words')}, gr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start, stop, type) AS i FROM gold), pr AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start, stop, type) AS j FROM pred),
+steps AS (SELECT doc_id, 0::BIGINT AS i, []::BIGINT[] AS used, NULL::BIGINT AS hit FROM (SELECT DISTINCT doc_id FROM gr)
+ UNION ALL SELECT doc_id, i + 1, CASE WHEN best IS NULL THEN used ELSE list_append(used, best) END, best FROM (
+  SELECT s.doc_id, s.i, any_value(s.used) AS used, coalesce(min(p.j) FILTER (WHERE p.surface = g.surface), min(p.j)) AS best
+  FROM steps s JOIN gr g ON g.doc_id = s.doc_id AND g.i = s.i + 1 LEFT JOIN pr p ON p.doc_id = s.doc_id AND NOT list_contains(s.used, p.j) AND (p.surface = g.surface
+   OR ((contains(p.surface, g.surface) OR contains(g.surface, p.surface)) AND least(length(p.surface), length(g.surface)) / greatest(length(p.surface), length(g.surface)) >= 0.7)) GROUP BY s.doc_id, s.i)),
 o AS (SELECT g.doc_id, g.start, g.type, CASE WHEN g.type = 'EVT' THEN 'exempt' WHEN p.type IS NULL THEN 'missed' WHEN p.type = g.type THEN 'confirmed' ELSE 'conflict' END AS outcome
- FROM gr g LEFT JOIN pr p ON g.doc_id = p.doc_id AND g.surface = p.surface AND g.r = p.r)"""
+ FROM gr g JOIN steps s ON s.doc_id = g.doc_id AND s.i = g.i LEFT JOIN pr p ON p.doc_id = g.doc_id AND p.j = s.hit)"""
 VERIFY_LABELS = ["PER", "LOC", "ORG", "PROD"]
+OUTCOMES = ("confirmed", "conflict", "missed", "exempt")
 
 
 def outcomes(spark, d) -> DataFrame:
@@ -384,91 +391,31 @@ def verify_outcomes(spark, d):
     return outcomes(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-@query(f"{VERIFY} SELECT type, count(*) FILTER (WHERE outcome = 'confirmed') AS confirmed, count(*) FILTER (WHERE outcome = 'conflict') AS conflict, count(*) FILTER (WHERE outcome = 'missed') AS missed, count(*) FILTER (WHERE outcome = 'exempt') AS exempt FROM o GROUP BY type")
+@query(f"{VERIFY} SELECT coalesce(type, 'ALL') AS type, " + ", ".join(f"count(*) FILTER (WHERE outcome = '{x}') AS {x}" for x in OUTCOMES) + " FROM o GROUP BY GROUPING SETS ((type), ())")
 def verify_report(spark, d):
-    return outcomes(spark, d).groupBy("type").agg(*[F.count_if(F.col("outcome") == x).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")])
-
-
-@query(f"""{VERIFY} SELECT 'keep_all' AS policy, count(*) AS n FROM o UNION ALL SELECT 'drop_span', count(*) FROM o WHERE outcome NOT IN ('missed', 'conflict')
-UNION ALL SELECT 'drop_record', count(*) FROM o WHERE doc_id NOT IN (SELECT doc_id FROM o WHERE outcome IN ('missed', 'conflict'))""")
-def verify_policy_kept(spark, d):
-    o = outcomes(spark, d)
-    parts = [augment.apply_policy(o, p).agg(F.lit(p).alias("policy"), F.count("*").alias("n")) for p in ("keep_all", "drop_span", "drop_record")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
+    return augment.verify_report(outcomes(spark, d))
 
-def matched(spark, d) -> DataFrame:
-    return augment.verify_matched(gold(spark, d), pred(spark, d), VERIFY_LABELS)
 
+@query(f"{VERIFY} SELECT doc_id, start, type, outcome FROM o WHERE outcome IN ('missed', 'conflict')")
+def verify_details(spark, d):
+    return outcomes(spark, d).where("outcome in ('missed', 'conflict')").select("doc_id", "start", "type", "outcome")
 
-@query()
-def verify_matched_outcomes(spark, d):
-    return matched(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
-@query()
-def verify_matched_report(spark, d):
-    return matched(spark, d).groupBy("type").agg(*[F.count_if(F.col("outcome") == x).alias(x) for x in ("confirmed", "conflict", "missed", "exempt")])
 
-
-@query()
-def verify_matched_kept(spark, d):
-    o = matched(spark, d)
-    parts = [augment.apply_policy(o, p).agg(F.lit(p).alias("policy"), F.count("*").alias("n")) for p in ("keep_all", "drop_span", "drop_record")]
+@query(f"""{VERIFY}, bad AS (SELECT DISTINCT doc_id FROM o WHERE outcome IN ('missed', 'conflict')), t AS (SELECT count(*) AS total FROM documents), b AS (SELECT count(*) AS dropped FROM bad)
+SELECT 'keep_all' AS policy, total, total AS kept, 0 AS dropped, (SELECT count(*) FROM o) AS n_entities FROM t UNION ALL SELECT 'drop_span', total, total, 0, (SELECT count(*) FROM o WHERE outcome NOT IN ('missed', 'conflict')) FROM t
+UNION ALL SELECT 'drop_record', total, total - dropped, dropped, (SELECT count(*) FROM o WHERE doc_id NOT IN (SELECT doc_id FROM bad)) FROM t, b""")
+def verify_policy_kept(spark, d):
+    o, docs = outcomes(spark, d), table(spark, d, "documents").select("doc_id")
+    parts = [augment.verify_totals(o, docs, p).select(F.lit(p).alias("policy"), "*") for p in ("keep_all", "drop_span", "drop_record")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-LANG_CASES = [("plain english", "en"), ("日本語です", "ja"), ("カタカナ", "ja"), ("한국어 문장", "ko"), ("tiếng Việt", "vi"), ("đây", "vi"), ("漢字", "unsupported"), ("café", "en"), ("", "unsupported"), ("123 !?", "unsupported"), ("한글 と", "ja"), ("a × b", "en")]
-
-
-@query("SELECT lang, CASE WHEN regexp_matches(text, '[A-Za-z]') THEN 'en' ELSE 'unsupported' END AS detected, count(*) AS n FROM documents GROUP BY ALL")
-def detect_lang(spark, d):
-    return table(spark, d, "documents").groupBy("lang", tx.detect_lang(F.col("text")).alias("detected")).agg(F.count("*").alias("n"))
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{x}')" for t, x in LANG_CASES) + ") v(text, detected)")
-def detect_literals(spark, d):
-    return spark.createDataFrame([(t,) for t, _ in LANG_CASES], "text string").select("text", tx.detect_lang(F.col("text")).alias("detected"))
-
-
 @query("""SELECT role, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(len(list_filter(string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: length(trim(x)) >= 10))) AS BIGINT) AS n_long FROM conversations GROUP BY role""")
 def sentence_stats(spark, d):
     parts = F.filter(F.split("text", r"(?<=[.!?])\s+"), lambda x: F.length(F.trim(x)) >= 10)
     return table(spark, d, "conversations").groupBy("role").agg(F.count("*").alias("n_turns"), F.sum(F.length("text")).alias("chars"), F.sum(F.size(parts).cast("long")).alias("n_long"))
 
 
-@query()
-def sentences(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence"))
-
-
-@query("SELECT doc_id, length(text) AS chars, true AS tiles FROM documents")
-def chunk_tiling(spark, d):
-    c = table(spark, d, "documents").withColumn("c", serving.chunks(F.col("text"), 100))
-    whole = F.array_join(F.transform("c", lambda x: x["chunk"]), "") == F.col("text")
-    placed = F.forall("c", lambda x: F.substr(F.col("text"), x["base"] + 1, F.length(x["chunk"])) == x["chunk"])
-    return c.select("doc_id", F.length("text").cast("long").alias("chars"), (whole & placed).alias("tiles"))
-
-
-ANSWERS = [
-    (1, '[{"text":"Ann","type":"PER"},{"text":"Rome","type":"LOC"}]', 2), (2, '{"text":"Ann","type":"PER"}', 1), (3, '{"spans":[{"text":"Ann","type":"PER"}]}', 1),
-    (4, '<think>hm [1]</think>[{"text":"Ann","type":"PER"}]', 1), (5, 'Sure: [{"text":"Ann","type":"PER"}] done', 1), (6, "nothing here", 0), (7, "", 0), (8, '```json\n[{"text":"Ann","type":"PER"}]\n```', 1), (9, '[{"text":"Ann"}]', 0),
-]
-
-
-@query("SELECT id::INTEGER AS id, n::INTEGER AS n FROM (VALUES " + ", ".join(f"({i}, {n})" for i, _, n in ANSWERS) + ") v(id, n)")
-def parse_llm_json(spark, d):
-    return spark.createDataFrame([(i, r) for i, r, _ in ANSWERS], "id int, raw string").select("id", F.size(tx.parse_spans(F.col("raw"))).alias("n"))
-
-
-TAGS = [("ko", "B-PS", "B-PER"), ("ko", "O", "O"), ("en", "I-og", "I-ORG"), ("ja", "B-PER", "B-PS"), ("vi", "I-PERSON", "I-PER"), ("vi", "B-XYZ", "B-XYZ"), ("ko", "", "O")]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in TAGS) + ") v(lang, tag, normal)")
-def tag_normalise(spark, d):
-    return spark.createDataFrame([(a, b) for a, b, _ in TAGS], "lang string, tag string").withColumn("normal", tx.normalize_tag(F.col("tag"), F.col("lang")))
-
-
 @query(f"{TOKENS_SQL} SELECT CASE type WHEN 'PROD' THEN 'ORG' WHEN 'EVT' THEN 'LOC' ELSE type END AS label, count(*) AS n FROM gold GROUP BY 1")
 def label_merge(spark, d):
     return gold(spark, d).groupBy(tx.merge_label(F.col("type"), {"PROD": "ORG", "EVT": "LOC"}).alias("label")).agg(F.count("*").alias("n"))
@@ -523,12 +470,6 @@ def ledger_exclusion_anywhere(spark, d):
     return audit.exclude_judged(lost, ledger).withColumnRenamed("end", "stop")
 
 
-@query(f"""{TOKENS_SQL}, {FREQUENT}, s AS (SELECT DISTINCT surface FROM gold), t AS (SELECT s.surface, f.surface AS target, row_number() OVER (PARTITION BY s.surface ORDER BY length(f.surface) DESC) AS r FROM s JOIN freq f ON starts_with(s.surface, f.surface) AND s.surface <> f.surface)
-SELECT g.surface, target, count(*) AS n FROM gold g JOIN t ON g.surface = t.surface AND r = 1 GROUP BY ALL""")
-def trim_targets(spark, d):
-    return audit.trim_targets(gold(spark, d), _dictionary(spark, d)).groupBy("surface", "target").agg(F.count("*").alias("n"))
-
-
 STATUS = "CASE WHEN event_type = 'error' THEN 500 WHEN value IS NULL OR value < 0 THEN 400 ELSE 200 END"
 
 
@@ -554,32 +495,20 @@ def inflight_sweep(spark, d):
     return serving.in_flight(e.withColumn("e", F.col("s") + F.floor(F.abs("value")) * 60_000_000), "day", "s", "e")
 
 
-REQUESTS = [(1, "hi", None, None, 200), (2, None, ["a", "b"], "en", 200), (3, "hi", ["a"], None, 400), (4, None, None, None, 400), (5, "hi", None, "xx", 400), (6, "x" * 20_001, None, None, 413), (7, None, ["a"] * 65, None, 413), (8, None, [], None, 400), (9, None, ["y" * 20_000] * 6, "ko", 413)]
-
-
-@query("SELECT id::INTEGER AS id, status::INTEGER AS status FROM (VALUES " + ", ".join(f"({r[0]}, {r[-1]})" for r in REQUESTS) + ") v(id, status)")
-def request_validation(spark, d):
-    return serving.validate(spark.createDataFrame([r[:4] for r in REQUESTS], "id int, text string, texts array<string>, lang string")).select("id", "status")
-
-
 @query("SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS item_idx, lang FROM documents")
 def batch_by_lang_order(spark, d):
-    return table(spark, d, "documents").select("doc_id", (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).cast("long").alias("item_idx"), "lang")
+    return serving.number_within(table(spark, d, "documents").select("doc_id", "lang"), "lang", "doc_id")
 
 
 @query(f"""{ANNOTATIONS_SQL}, {annotation_sql(25, 'predb')}, {annotation_sql(12, 'predc')}, x AS ({_run_sql('m20', 'pred', False)} UNION ALL {_run_sql('m25', 'predb', False)} UNION ALL {_run_sql('m12', 'predc', False)})
-SELECT run AS model, f1 FROM x WHERE entity = 'ALL'""")
+SELECT run AS model, round(f1, 6) AS f1 FROM x WHERE entity = 'ALL'""")
 def llm_bench_table(spark, d):
     g = gold(spark, d)
     parts = [metrics.strict(g, pred(spark, d, m)).where("type = 'ALL'").select(F.lit(f"m{m}").alias("model"), "f1") for m in (20, 25, 12)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("SELECT date_trunc('hour', ts) AS begin, event_type, count(*) AS n FROM events GROUP BY ALL")
-def streaming_windows(spark, d):
-    """The watermarked window counts of the stream, as a batch over the same rows."""
-    w = streams.windowed_counts(table(spark, d, "events"))
-    return w.select(F.col("window.start").alias("begin"), "event_type", "n")
+from . import labels, records, rulebook, service, texts  # noqa: E402, F401 - they add their queries
 
 
 def queries() -> dict:
