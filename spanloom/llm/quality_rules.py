@@ -4,9 +4,17 @@ Counts per text come from byte arrays.  A linear-chain conditional random field
 with two labels (content, boilerplate) scores each line; Viterbi decoding marks
 the lines, and the share of words in content lines decides retention.
 
-Defined cases: a null or empty text has no words and fails the base rule; lines
-without a word take no part in the sequence; without labelled rows the field
-keeps ``DEFAULT_WEIGHTS``.  Repeated rows each give a row.
+The field is fitted on all lines of at most ``SAMPLE_ROWS`` labelled documents,
+whose lines take their document's label.  Long chains are fitted in stretches of
+``STRETCH`` lines: only the transitions between stretches are left out.
+
+Defined cases: a null or empty text has no words and fails the base rule; an empty
+table gives none.  Lines without a word take no part in the sequence; where both
+labels of a line score the same, it counts as content.  Very long texts are
+handled whole, one at a time.  Without labelled rows of both kinds the field keeps
+``DEFAULT_WEIGHTS``; of repeated labels of a document the smallest counts, of
+repeated rows with one id the greatest text.  Repeated rows each give a row;
+other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ from .arrays import WHITESPACE_WORDS, Words, map_texts, windows
 
 SYMBOLS = b"#*$%&|<>"
 SAMPLE_ROWS = 2000  #: labelled documents the field is fitted on, at most
-SAMPLE_CHARS = 20_000  #: of each of them
+STRETCH = 64  #: lines that are fitted as one chain
 MIN_CONTENT = 0.5
 N_FEATURES = 9
 #: emission weights (content minus boilerplate), then the two transition weights
@@ -96,15 +104,18 @@ def viterbi(emission: np.ndarray, stay_content: float, stay_boiler: float) -> li
 
 def fit_field(chains: list[tuple[np.ndarray, int]], rounds: int = 150, rate: float = 0.5) -> np.ndarray:
     """Gradient ascent on the likelihood of the chains (features, label of all lines)."""
-    chains = [(f[:60], y) for f, y in chains if len(f)]
+    # whole chains, cut into stretches; a stretch counts by its share of its document
+    chains = [(f[a : a + STRETCH], y, len(f[a : a + STRETCH]) / len(f)) for f, y in chains for a in range(0, len(f), STRETCH)]
+    part = np.array([p for _, _, p in chains])
+    chains = [(f, y) for f, y, _ in chains]
     if not chains or len({y for _, y in chains}) < 2:
         return DEFAULT_WEIGHTS
     n, longest = len(chains), max(len(f) for f, _ in chains)
     x, mask, y = np.zeros((n, longest, N_FEATURES)), np.zeros((n, longest)), np.array([y for _, y in chains], float)
     for i, (f, _) in enumerate(chains):
         x[i, : len(f)], mask[i, : len(f)] = f, 1
-    share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    share = share / np.maximum(1, mask.sum(1))
+    share = np.where(y == 1, 0.5 / max(1e-9, part[y == 1].sum()), 0.5 / max(1e-9, part[y == 0].sum()))
+    share = share * part / np.maximum(1, mask.sum(1))
     pairs = mask[:, 1:]
     w = DEFAULT_WEIGHTS.copy()
     for _ in range(rounds):
@@ -132,24 +143,29 @@ def fit_field(chains: list[tuple[np.ndarray, int]], rounds: int = 150, rate: flo
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, str, int]]:
-    """At most ``rows`` labelled documents (smallest hashes of doc_id), for fitting only."""
+def chains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[np.ndarray, int]]:
+    """Features of all lines of at most ``rows`` labelled documents (smallest hashes of doc_id), with the label; for fitting only."""
     some = (
         labels.where("quality is not null and doc_id is not null")
-        .select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_y"))
-        .orderBy(F.xxhash64("_id"), "_id", "_y").limit(rows)
+        .groupBy(F.col("doc_id").alias("_sl_id")).agg(F.min("quality").cast("int").alias("_sl_y"))
+        .orderBy(F.xxhash64("_sl_id"), "_sl_id").limit(rows)
     )
-    got = docs.join(F.broadcast(some), docs["doc_id"] == some["_id"]).select("_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"), "_y")
-    return [(r[0], r[1] or "", r[2]) for r in got.orderBy("_id", "t").limit(2 * rows).collect()]
+    texts = docs.select(F.col("doc_id").alias("_sl_doc"), F.col("text").alias("_sl_text"))
+    got = texts.join(F.broadcast(some), F.col("_sl_doc") == F.col("_sl_id")).groupBy("_sl_id", "_sl_y").agg(F.max("_sl_text").alias("_sl_text"))
+
+    def work(rows_: pa.RecordBatch, texts_: list[bytes]) -> pa.RecordBatch:
+        words = Words(texts_, WHITESPACE_WORDS)
+        f, _, text_of, _ = line_features(words, words.hashes(), texts_)
+        packed = [f[text_of == i].astype("<f4").tobytes() for i in range(len(texts_))]
+        return pa.RecordBatch.from_arrays([rows_.column(0), rows_.column(1), pa.array(packed, pa.binary())], ["id", "y", "f"])
+
+    found = map_texts(got, work, "id long, y int, f binary", ("_sl_id", "_sl_y", "_sl_text")).orderBy("id").collect()
+    return [(np.frombuffer(r[2], "<f4").reshape(-1, N_FEATURES).astype(float), r[1]) for r in found]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights of the field: lines of good documents count as content, of bad ones as boilerplate."""
-    chains = []
-    for _, text, y in sample(docs, labels):
-        words = Words([text.encode()])
-        chains.append((line_features(words, words.hashes(), [b""])[0], y))
-    return fit_field(chains)
+    return fit_field([(f, y) for f, y in chains(docs, labels) if len(f)])
 
 
 def assess(docs: DataFrame, weights: np.ndarray = DEFAULT_WEIGHTS, min_content: float = MIN_CONTENT) -> DataFrame:

@@ -1,16 +1,23 @@
 """Quality classifier by importance resampling.
 
-Two generative models over hashed byte n-grams and word-pair classes: the target model is counted on
-good labelled documents (a bounded sample), the raw model on all documents.  A
-document's log weight is the mean log ratio over its n-grams; Gumbel top-k takes
-k documents without replacement in proportion to the tempered weights, where k
-is the number of documents over the weight that best separates held-out labels.
+Two generative models over hashed byte n-grams and word-pair classes: the target
+model is counted on good labelled documents (a bounded sample), the raw model on
+all documents.  A document's log weight is the log ratio of the two models for its
+whole text: the sum of its n-grams' log ratios, less a calibrated ratio of their
+length models (the same for every n-gram).  Gumbel top-k takes k documents without
+replacement in proportion to the weights: a document's key is its log weight plus
+a Gumbel draw, and the k largest keys are taken, where k is the number of documents
+of weight 1 or more.  The draw decides among documents near that weight; short texts
+are near it.
 
 Counts cover all documents; what reaches the driver is two vectors of
-``BUCKETS`` values, the labelled sample's ids, and a few histograms of fixed size.
-Defined cases: a null or empty text has weight ``-inf`` and is rejected; without
-good or without bad labels every document with n-grams is kept; documents equal
-in key at the cut are all kept; repeated rows each give a row.
+``BUCKETS`` values, the held-out labels' weights, and a few histograms of fixed size.
+Defined cases: a null or empty text has no n-grams and weight ``-inf`` and is
+rejected; an empty table gives none; without good or without bad labels every
+document with n-grams is kept; documents equal in key at the cut are all kept;
+repeated rows each give a row, of the same draw; of repeated labels the smallest
+counts.  Very long texts count whole.  Other columns are not looked at, whatever
+their names; a null doc_id is drawn for as a value of its own.
 """
 
 from __future__ import annotations
@@ -25,8 +32,7 @@ from .shared import cut as cut_lineage
 BUCKETS = 1 << 14
 SIZES = (3,)  #: bytes per n-gram
 SAMPLE_ROWS = 20_000  #: labelled rows used for the target model and the cut, at most
-TEMPERATURE = 0.002
-SCHEMA = "doc_id long, n_grams long, log_weight double"
+SCHEMA = "doc_id long, n_grams long, log_ratio double"
 
 
 def gram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,21 +98,21 @@ def models(docs: DataFrame, sample: DataFrame) -> np.ndarray | None:
 
 
 def weights(docs: DataFrame, ratio: np.ndarray | None) -> DataFrame:
-    """One row per document with its log weight."""
+    """One row per document with the log ratio of the models for its n-grams."""
     table = np.zeros(BUCKETS) if ratio is None else ratio
 
     def work(rows: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         key, of = gram_buckets(texts)
         n = np.bincount(of, minlength=len(texts))
         total = np.bincount(of, weights=table[key], minlength=len(texts))
-        mean = np.where(n > 0, total / np.maximum(1, n), -np.inf)
-        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int64)), pa.array(mean)], ["doc_id", "n_grams", "log_weight"])
+        total = np.where(n > 0, total, -np.inf)
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int64)), pa.array(total)], ["doc_id", "n_grams", "log_ratio"])
 
     return map_texts(docs, work, SCHEMA)
 
 
 def best_cut(pairs: list[tuple[float, int]], good_cost: float = 10.0) -> float:
-    """The weight over which documents count as good; losing a good one costs ``good_cost`` times keeping a bad one."""
+    """The mean ratio over which documents count as good; losing a good one costs ``good_cost`` times keeping a bad one."""
     pairs = sorted((w, y) for w, y in pairs if np.isfinite(w))
     bad, good = sum(1 - y for _, y in pairs), sum(y for _, y in pairs)
     if not bad or not good:
@@ -142,18 +148,32 @@ def kth_largest(keys: DataFrame, column: str, k: int, lo: float, hi: float, bins
     return lo
 
 
+def gumbel(key: str, seed: int):
+    """A Gumbel draw that follows from the document's id."""
+    unit = (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    return -F.log(-F.log(unit))
+
+
+def top_k(scored: DataFrame, seed: int = 1) -> DataFrame:
+    """``scored`` (doc_id, n_grams, log_weight) with the Gumbel key and whether it is among the k largest, k being the number of weights of 1 or more."""
+    keyed = cut_lineage(scored.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("log_weight") + gumbel("doc_id", seed))))
+    k, lo, hi = keyed.where(F.col("n_grams") > 0).agg(F.count_if(F.col("log_weight") >= 0), F.min("gumbel_key"), F.max("gumbel_key")).first()
+    least = kth_largest(keyed, "gumbel_key", k, lo, hi) if k else float("inf")
+    return keyed.withColumn("kept", F.coalesce(F.col("gumbel_key") >= F.lit(least), F.lit(False)))
+
+
 def classify(docs: DataFrame, labels: DataFrame, seed: int = 1, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """One row per document: log weight, Gumbel key, and whether it is among the k taken."""
-    sample = labelled(labels, rows)
+    """One row per document: n-grams, log ratio, log weight, Gumbel key, and whether it is among the k taken."""
+    docs = docs.select("doc_id", "text")
+    sample = labelled(labels.select("doc_id", "quality"), rows)
     ratio = models(docs, sample)
-    scored = weights(docs, ratio)
-    unit = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    keyed = scored.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("log_weight") / F.lit(TEMPERATURE) - F.log(-F.log(unit))))
-    keyed = cut_lineage(keyed)
-    cut = -np.inf
+    scored = cut_lineage(weights(docs, ratio))
+    per_gram = None
     if ratio is not None:
         held = F.broadcast(sample.where("_half = 1").select("_id", "_y"))
-        cut = best_cut([(r[0], r[1]) for r in keyed.join(held, keyed["doc_id"] == held["_id"]).select("log_weight", "_y").collect()])
-    k, lo, hi = keyed.where(F.col("n_grams") > 0).agg(F.count_if(F.col("log_weight") >= F.lit(float(cut))), F.min("gumbel_key"), F.max("gumbel_key")).first()
-    least = kth_largest(keyed, "gumbel_key", k, lo, hi) if k else float("inf")
-    return keyed.withColumn("kept", F.coalesce(F.col("gumbel_key") >= F.lit(least), F.lit(False)))
+        pairs = scored.join(held, scored["doc_id"] == held["_id"]).where("n_grams > 0").select(F.col("log_ratio") / F.col("n_grams"), "_y").collect()
+        per_gram = best_cut([(r[0], r[1]) for r in pairs])
+    # without a cut nothing is known against any document
+    weight = F.col("log_ratio") - F.col("n_grams") * F.lit(float(per_gram)) if per_gram is not None and np.isfinite(per_gram) else F.lit(0.0)
+    scored = scored.withColumn("log_weight", F.when(F.col("n_grams") > 0, weight).otherwise(F.lit(float("-inf"))))
+    return top_k(scored, seed)

@@ -6,15 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..sources.files import shared_root
+
 FILTER_BITS = 1 << 26  #: bits of the key filter: 8 MB
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one of our own only where none is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spanloom-checkpoints")
-    return sc.getCheckpointDir()
+    """The cluster's checkpoint folder; a temporary one of our own only in local mode where none is set, else this raises."""
+    return shared_root(spark)
 
 
 class Table:

@@ -201,13 +201,17 @@ def repeats(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
     return sent.repartition(partitions, home).sortWithinPartitions("bucket").mapInArrow(sort_windows, "doc_id long, text_hash long, first long, last long")
 
 
-def deduplicate(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
-    """All columns of ``docs`` with the text cut down to its kept words, and n_words, n_removed, kept_sha256 beside it."""
+REPORT = ("n_words", "n_removed", "kept_sha256")
+
+
+def deduplicate(docs: DataFrame, k: int = K, m: int = M, report: bool = True) -> DataFrame:
+    """All columns of ``docs`` with the text cut down to its kept words; with the ``report`` also n_words, n_removed and kept_sha256."""
     spark = docs.sparkSession
-    found = repeats(docs, k, m).groupBy(F.col("doc_id").alias("_sl_id"), F.col("text_hash").alias("_sl_th")).agg(F.collect_list(F.struct("first", "last")).alias("_sl_runs"))
+    found = repeats(docs.select("doc_id", "text"), k, m).groupBy(F.col("doc_id").alias("_sl_id"), F.col("text_hash").alias("_sl_th")).agg(F.collect_list(F.struct("first", "last")).alias("_sl_runs"))
     left = docs.select(docs["*"], F.coalesce(docs["doc_id"], F.lit(-(1 << 63))).alias("_sl_k"), F.xxhash64(docs["text"]).alias("_sl_h"))
     both = left.join(found, (left["_sl_k"] == found["_sl_id"]) & (left["_sl_h"] == found["_sl_th"]), "left").drop("_sl_k", "_sl_h", "_sl_id", "_sl_th")
-    others = [f for f in docs.schema.fields if f.name not in ("text", "n_words", "n_removed", "kept_sha256")]
+    added = REPORT if report else ()
+    others = [f for f in docs.schema.fields if f.name not in ("text", *added)]
     names = [f.name for f in others]
 
     def keep(batches):
@@ -232,11 +236,13 @@ def deduplicate(docs: DataFrame, k: int = K, m: int = M) -> DataFrame:
                 digests.append(hashlib.sha256(out).hexdigest())
             # a text that loses nothing stays as it was, line breaks included
             text = [k if k is not None else t.decode() for k, t in zip(kept, texts)]
-            columns = [batch.column(i) for i in range(len(names))] + [pa.array(text, pa.string()), pa.array(words_n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "text", "n_words", "n_removed", "kept_sha256"])
+            counts = [pa.array(words_n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+            columns = [batch.column(i) for i in range(len(names))] + [pa.array(text, pa.string()), *counts[: len(added)]]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "text", *added])
 
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-    schema = StructType([*others, StructField("text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
+    kinds = dict(zip(REPORT, (LongType(), LongType(), StringType())))
+    schema = StructType([*others, StructField("text", StringType()), *[StructField(c, kinds[c]) for c in added]])
     bounded_batches(spark)
     return both.select(*[both[f"`{n}`"] for n in names], "text", "_sl_runs").mapInArrow(keep, schema)
