@@ -1,8 +1,10 @@
 """Corpus pipeline: quality, near copies, repeated passages, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``.  Nulls, repeated rows, empty tables and
-extra columns have the results that each operator's docstring states.
+return the columns of ``documents``, others that the table has beside them too,
+whatever their names.  Nulls, ties, repeated rows, empty tables and very long
+texts have the results that each operator's docstring states: rows without an id
+stay through near copies, rows without text go with the quality stage.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of passages that also start earlier."""
-    return _sized(substrings.deduplicate(docs), docs)
+    return _sized(substrings.deduplicate(docs, report=False), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
