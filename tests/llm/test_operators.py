@@ -322,6 +322,85 @@ def test_neighbours_reach_grows(spark):
     assert hits / (20 * len(got)) > 0.9
 
 
+def test_minhash_links_of_members_that_never_led(spark):
+    """Two groups of near copies, linked only by members that are central to neither; and texts alike only in their plain sets."""
+    rng = random.Random(12)
+    w = [f"w{i}" for i in range(300)]
+    data = []
+    for i in range(30):  # a chain: each text shares four fifths with the next, far ones nothing
+        data.append((i + 1, " ".join(w[i * 6 : i * 6 + 100])))
+    plain = [f"p{i}" for i in range(120)]
+    data.append((500, " ".join(plain)))
+    data.append((501, " ".join(plain + ["same line of ten words that comes again and again"] * 1 + plain[:40] * 6)))
+    for i in range(60):
+        x = [f"q{j}" for j in range(200)]
+        x[rng.randrange(200)] = f"n{i}"
+        data.append((1000 + i, " ".join(x)))
+    want = brute.near_classes(data)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(spark.createDataFrame(data, DOC).repartition(5)).collect()}
+    assert got == want
+
+
+def test_resampling_draws(spark):
+    """Gumbel top-k by hand: the k largest of weight plus draw, k the number of weights of 1 or more."""
+    rng = random.Random(9)
+    rows = [(i, 5, rng.gauss(0, 2)) for i in range(400)] + [(400, 0, float("-inf")), (None, 3, 0.5)]
+    scored = spark.createDataFrame(rows, "doc_id long, n_grams long, log_weight double")
+    got = resampling.top_k(scored, 3).withColumn("g", resampling.gumbel("doc_id", 3)).collect()
+    keys = sorted((r["log_weight"] + r["g"] for r in got if r["n_grams"]), reverse=True)
+    k = sum(1 for r in rows if r[1] and r[2] >= 0)
+    assert {r["doc_id"] for r in got if r["kept"]} == {r["doc_id"] for r in got if r["n_grams"] and r["log_weight"] + r["g"] >= keys[k - 1]}
+    assert sum(r["kept"] for r in got) == k and 20 < sum(r["kept"] != (r["log_weight"] >= 0) for r in got if r["n_grams"]) < 200
+    assert abs(np.mean([r["g"] for r in got]) - 0.5772) < 0.25
+
+
+def test_field_uses_all_lines(spark):
+    """Lines behind the sixtieth, and behind the 20,000th character, reach the fit."""
+    good = "\n".join(["This is a plain sentence with several words in it."] * 40)
+    tail = "\n".join(["BUY NOW!!! $$$ *** |||"] * 200)
+    docs = spark.createDataFrame([(1, good, "x", 5), (2, good + "\n" + tail * 4, "y", 6), (3, tail, "z", 7)], "doc_id long, text string, _id string, _y int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, _id int")
+    chains = quality_rules.chains(docs, labels)
+    assert [(len(f), y) for f, y in chains] == [(40, 1), (40 + 4 * 200 - 3, 0), (200, 0)]
+    weights = quality_rules.fit(docs, labels)
+    assert not np.allclose(weights, quality_rules.DEFAULT_WEIGHTS)
+    assert len(quality_rules.chains(docs, labels, 1)) == 1
+
+
+CLASHES = "doc_id long, text string, _id string, _y int, n_words string, n_removed int, kept_sha256 int, n_base string, node string, class_id int, entry int, bucket string, lang string"
+
+
+def test_clashing_columns(spark, sf_dir):
+    """Extra columns of any name change nothing, and pass where columns pass."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    wide = docs.withColumns({f.split()[0]: F.lit("7").cast(f.split()[1]) for f in CLASHES.split(", ")[2:]})
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("_id", F.lit(1))
+    same = lambda f: sorted(map(str, f(docs).collect())) == sorted(map(str, f(wide).collect()))
+    for f in (licenses.scan, bpe.encode, secrets.scan, quality_rules.assess, pii.report, lambda x: minhash.classes(x), lambda x: resampling.classify(x, labels), lambda x: quality_rules.assess(x, quality_rules.fit(x, labels))):
+        assert same(f)
+    assert same(lambda x: packing.sequences(x.coalesce(1).sortWithinPartitions("doc_id")).drop("sequence_id"))
+    out = substrings.deduplicate(wide, report=False)
+    assert sorted(out.columns) == sorted(wide.columns) and out.where("n_words = '7' and n_removed = 7 and kept_sha256 = 7").count() == 60
+    assert sorted(substrings.deduplicate(wide).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()) == sorted(substrings.deduplicate(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect())
+    vectors = spark.createDataFrame([(i, [float(i % 7 + 1), float(i % 5)], 1, "a") for i in range(60)], "vec_id long, embedding array<float>, entry int, query_id string")
+    assert sorted(neighbours.nearest(vectors).collect()) == sorted(neighbours.nearest(vectors.select("vec_id", "embedding")).collect())
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir):
+    """Nulls, clashing columns and empty tables pass through every stage."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
+    nulls = spark.createDataFrame([(None, "some words that have no id at all here", None, None, None), (9_000_001, None, "en", None, 0), (9_000_001, "", None, "s", None)], docs.schema)
+    odd = docs.unionByName(nulls).withColumns({"n_words": F.lit("w"), "n_removed": F.lit(2), "_id": F.lit("i"), "class_id": F.lit(3)})
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, odd.limit(0), sf_dir)
+        assert none.count() == 0
+        out = stage(spark, odd, sf_dir)
+        if name != "packing":
+            assert out.columns == odd.columns and out.where("n_words <> 'w' or n_removed <> 2 or _id <> 'i' or class_id <> 3").count() == 0
+            assert out.count() >= 30
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for f in (licenses.scan, pii.report, secrets.scan, quality_rules.assess, bpe.encode, packing.sequences, substrings.deduplicate):
@@ -371,11 +450,12 @@ def test_minhash_meet(spark):
         sig = base[i % 40].copy()
         cut = rng.random(len(sig)) < (0.1 if i % 2 else 0.45)
         sig[cut] = rng.integers(0, 256, cut.sum())
-        rows.append((i, sig[: minhash.REGISTERS].view(np.int64).tolist(), sig[minhash.REGISTERS :].tobytes(), None if i % 3 else sig[minhash.REGISTERS :].tobytes()))
-    nodes = spark.createDataFrame(rows, "node long, k array<long>, fine binary, plain binary").repartition(5)
+        k = sig[: minhash.REGISTERS].view(np.int64).tolist()
+        rows.append((i, k, k, sig[minhash.REGISTERS :].tobytes(), None if i % 3 else sig[minhash.REGISTERS :].tobytes()))
+    nodes = spark.createDataFrame(rows, "node long, k array<long>, kp array<long>, fine binary, plain binary").repartition(5)
     seats = spark.createDataFrame([(0, i % 2, i, i % 700, 3) for i in range(1500)], "band int, key long, node long, r long, parts long")
     lead = spark.createDataFrame([(0, i % 2, i, i % 700, 3) for i in range(60)], "band int, key long, leader long, lr long, parts long")
-    sig = np.array([np.frombuffer(np.array(k, np.int64).tobytes() + f, np.uint8) for _, k, f, _ in rows])
+    sig = np.array([np.frombuffer(np.array(k, np.int64).tobytes() + f, np.uint8) for _, k, _, f, _ in rows])
     near = lambda x, least: ((x.mean(axis=1) - 1 / 256) * 256 / 255) >= least
     want = []
     for b in range(60):
