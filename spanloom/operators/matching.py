@@ -88,7 +88,8 @@ def clusters(both: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """One row per cluster of touching spans: the keys, and arrays gs and ps of ``fields`` in that order; one shuffle by the keys."""
     order = Window.partitionBy(*keys).orderBy("start", "end")
     top = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(top.isNull() | (F.col("start") >= top), 1).otherwise(0)
+    again = (F.lag("start").over(order) == F.col("start")) & (F.lag("end").over(order) == F.col("end"))  # equal empty spans belong together
+    opens = F.when(top.isNull() | (F.col("start") >= top) & ~again, 1).otherwise(0)
     numbered = both.withColumn("_opens", opens).withColumn("_cluster", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     listed = lambda side: F.array_sort(F.collect_list(F.when(F.col(side) == 1, F.struct(*fields))))
     return numbered.groupBy(*keys, "_cluster").agg(listed("g").alias("gs"), listed("p").alias("ps"))

@@ -50,7 +50,7 @@ def read_text(spark: SparkSession, path: str) -> str:
     """A small file as a whole; raises FileNotFoundError where there is none."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    rows = spark.read.option("wholetext", True).text(path).head(1)
+    rows = spark.read.text(path, wholetext=True).head(1)
     return rows[0][0] if rows else ""
 
 

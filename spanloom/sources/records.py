@@ -141,7 +141,7 @@ def read_fold_metrics(spark: SparkSession, run: str) -> DataFrame:
 
 def read_fold_configs(spark: SparkSession, run: str, name: str = "run") -> DataFrame:
     """The plain fields of each fold's metrics.json as a map (a null value stays in it): run, fold, config; raises if there is no fold."""
-    raw = spark.read.option("wholetext", True).text(f"{run}/fold*/metrics.json").withColumn("_path", F.col("_metadata.file_path"))
+    raw = spark.read.text(f"{run}/fold*/metrics.json", wholetext=True).withColumn("_path", F.col("_metadata.file_path"))
     fold = F.regexp_extract("_path", r"fold([0-9]+)/metrics\.json$", 1)
     rows = raw.withColumn("fold", F.when(fold != "", fold.cast("int"))).where("fold is not null")
     out = rows.select(F.lit(name).alias("run"), "fold", F.from_json("value", "map<string,string>").alias("config"))
@@ -152,7 +152,7 @@ def read_fold_configs(spark: SparkSession, run: str, name: str = "run") -> DataF
 
 def read_pooled(spark: SparkSession, run: str, name: str = "run") -> DataFrame:
     """pooled_metrics.json of a run as a map of its plain fields: run, metrics."""
-    raw = spark.read.option("wholetext", True).text(f"{run}/pooled_metrics.json")
+    raw = spark.read.text(f"{run}/pooled_metrics.json", wholetext=True)
     return raw.select(F.lit(name).alias("run"), F.from_json("value", "map<string,string>").alias("metrics"))
 
 
@@ -167,7 +167,7 @@ def read_predictions(spark: SparkSession, run: str) -> DataFrame:
     """test_predictions.json (a list) of each fold: fold, row, id, text, orig, group, group_key, gold_spans, pred_spans."""
     span = "array<struct<type:string,start:long,end:long,score:double,text:string>>"
     schema = f"array<struct<id:string,text:string,orig:string,`group`:string,group_key:string,gold_spans:{span},pred_spans:{span}>>"
-    raw = spark.read.option("wholetext", True).text(f"{run}/fold*/test_predictions.json").withColumn("_path", F.col("_metadata.file_path"))
+    raw = spark.read.text(f"{run}/fold*/test_predictions.json", wholetext=True).withColumn("_path", F.col("_metadata.file_path"))
     fold = F.regexp_extract("_path", r"fold([0-9]+)/test_predictions\.json$", 1)
     rows = raw.withColumn("fold", F.when(fold != "", fold.cast("int"))).where("fold is not null")
     return rows.select("fold", F.posexplode(F.from_json("value", schema)).alias("row", "r")).select("fold", F.col("row").cast("long").alias("row"), "r.*")

@@ -21,7 +21,7 @@ def same_text(a, b):
     return bool(a and b) and (a == b or (a in b or b in a) and min(len(a), len(b)) / max(len(a), len(b)) >= 0.7)
 
 
-def test_verify_matched(spark):
+def test_verify_outcomes(spark):
     rng = random.Random(3)
     words = ["Anna", "Ann", "Annas", "Berlin", "Berli", "Berlin ", "Rome", "Romero", "", " ", None, "aaaaaaa", "aaaaaa"]
     span = lambda d, s: (d, s, s + rng.randint(1, 4), rng.choice(["PER", "LOC", "EVT"]), rng.choice(words))
@@ -40,7 +40,7 @@ def test_verify_matched(spark):
             outcome = "exempt" if g[3] == "EVT" else "missed" if hit is None else "confirmed" if mine[hit][3] == g[3] else "conflict"
             want.append((*g, None if hit is None else mine[hit][3], outcome))
     schema = "doc_id long, start long, end long, type string, surface string"
-    got = augment.verify_matched(spark.createDataFrame(golds, schema), spark.createDataFrame(preds, schema), ["PER", "LOC"]).collect()
+    got = augment.verify_outcomes(spark.createDataFrame(golds, schema), spark.createDataFrame(preds, schema), ["PER", "LOC"]).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert (50, 0, 6, "LOC", "Berlin", "LOC", "confirmed") in want
 
@@ -49,7 +49,7 @@ def test_mentions_anywhere(spark):
     surfaces = ["Anna", "Ann", "New York", "York", "서울", "서울 시청", "U.S.", "a", "New York New", "", None]
     texts = ["Anna, Ann\nAnna.", "New York New York New", "서울은 서울시 서울장 서울 시청에서", "xAnna Annab Anna_", "the U.S. and U.S.A", "a😀Ann a", "", None, "(Anna)", "(서울)이라는", "New  York", "éAnn Anné"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = sorted(tuple(r) for r in audit.mentions_anywhere(docs, spark.createDataFrame([(s,) for s in surfaces + ["Ann"]], "surface string")).collect())
+    got = sorted(tuple(r) for r in audit.mentions_anywhere(docs, spark.createDataFrame([(s,) for s in surfaces + ["Ann"]], "surface string")).select("doc_id", "start", "end", "surface").collect())
 
     def stands(t, i, s):
         rest = t[i + len(s) :]
