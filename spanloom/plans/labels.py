@@ -49,8 +49,8 @@ def contested(spark, d) -> tuple[DataFrame, DataFrame]:
 def clusters_sql(by: str, golds: str, preds: str) -> str:
     """Spans of both sides (s: g or p) with the number c of their cluster and their place n on their side of it."""
     return f"""z0 AS (SELECT doc_id, start, stop, type, 'g' AS s FROM {golds} UNION ALL SELECT doc_id, start, stop, type, 'p' FROM {preds}),
-z1 AS (SELECT *, max(stop) OVER (PARTITION BY {by} ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM z0),
-z2 AS (SELECT *, sum(CASE WHEN top IS NULL OR start >= top THEN 1 ELSE 0 END) OVER (PARTITION BY {by} ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS c FROM z1),
+z1 AS (SELECT *, max(stop) OVER (PARTITION BY {by} ORDER BY start, stop, type, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM z0),
+z2 AS (SELECT *, sum(CASE WHEN top IS NULL OR start >= top THEN 1 ELSE 0 END) OVER (PARTITION BY {by} ORDER BY start, stop, type, s, top NULLS FIRST ROWS UNBOUNDED PRECEDING) AS c FROM z1),
 z3 AS (SELECT doc_id, start, stop, type, s, c, row_number() OVER (PARTITION BY {by}, c, s ORDER BY start, stop, type) AS n FROM z2)"""
 
 

@@ -52,7 +52,7 @@ def request_log(spark, d):
     return log.where("length(rid) > 0").groupBy("status", "kind", "reason", "level", error.alias("error")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {SCRIPTED}, l AS (SELECT doc_id, doc_id // 7 AS request_id, CASE doc_id % 6 WHEN 1 THEN 'vi' WHEN 2 THEN 'ja' WHEN 3 THEN 'ko' WHEN 5 THEN 'unsupported' ELSE 'en' END AS lang FROM scripted WHERE regexp_matches(text, '[ạểịộưぁ-んァ-ヶ가-힣äéîôüÿa-z]') OR doc_id % 6 = 5),
+@query(f"""WITH {SCRIPTED}, l AS (SELECT doc_id, doc_id // 7 AS request_id, CASE WHEN regexp_matches(text, '[ぁ-んァ-ヶ]') THEN 'ja' WHEN regexp_matches(text, '[가-힣]') THEN 'ko' WHEN regexp_matches(text, '[ạểịộư]') THEN 'vi' WHEN regexp_matches(text, '[a-zäéîôüÿ]') THEN 'en' ELSE 'unsupported' END AS lang FROM scripted WHERE regexp_matches(text, '[ạểịộưぁ-んァ-ヶ가-힣äéîôüÿa-z]') OR doc_id % 6 = 5),
 o AS (SELECT request_id, lang, min(doc_id) AS first FROM l GROUP BY ALL), c AS (SELECT request_id, count(*) AS batch FROM l GROUP BY 1)
 SELECT request_id, batch, 0::BIGINT AS n_entities, string_agg(lang, '+' ORDER BY first) AS langs FROM o JOIN c USING (request_id) GROUP BY request_id, batch""")
 def batch_answers(spark, d):
