@@ -508,7 +508,7 @@ def llm_bench_table(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-from . import labels, records, rulebook, service, texts  # noqa: E402, F401 - they add their queries
+from . import labels, rulebook, service, texts  # noqa: E402, F401 - they add their queries
 
 
 def queries() -> dict:
