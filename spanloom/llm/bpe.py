@@ -10,7 +10,10 @@
 
 A batch holds ``BATCH_BYTES`` of text or one longer text; no row is larger.
 Defined cases: a null or empty text has no tokens; repeated rows each give a
-row; special-token strings are ordinary text in ``encode`` here.
+row; special-token strings are ordinary text in ``encode`` here.  An empty table
+gives none; other columns are not looked at, whatever their names.  Batches are
+numbered by input partition and order of rows, so the rows must come from a table,
+not from a shuffle whose order a repeated task may change.
 """
 
 from __future__ import annotations

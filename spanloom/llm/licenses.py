@@ -7,7 +7,10 @@ words stand exactly, in order, with nothing else between them.
 
 Defined cases: a null or empty text has no words, no labels and score 0; the
 score is 1 if an automaton accepts, 0.5 if only a phrase stands there, else 0.
-Repeated rows each give a row.
+Of templates that begin
+at one place all that accept count, each by its shortest run.  An empty table gives
+none; very long texts are read whole; other columns are not looked at, whatever their
+names.  Repeated rows each give a row.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ vector is indexed.  Equal vectors are one entry with its smallest ids, so a hot
 vector fills no window.  Windows are ranges of rank, alike at every size.
 Defined cases: vectors that are null, zero, hold null or non-finite components,
 or have another length than the commonest take no part, nor do null ids;
-repeated ids count as one vector if equal, as several otherwise.
+repeated ids count as one vector if equal, as several otherwise.  Ties in score go
+to the smaller vec_id; an empty table gives none; other columns are not looked at,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ Each input partition packs its own documents, ``GROUP`` remainders at a time, so
 there is no shuffle; one sequence per group may stay open, and it is cut into
 powers of two when that needs at most ``TAIL`` pieces.  Sequence ids combine partition and place,
 so a repeated task gives the same ids.  Defined cases: a null or empty text is
-the separator alone; repeated rows are packed each.
+the separator alone; repeated rows are packed each.  An empty table gives none; very
+long texts fill sequences of their own; other columns are not looked at, whatever
+their names.  Ids follow input partition and order of rows, so the rows must come
+from a table, not from a shuffle whose order a repeated task may change.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ the search linear on very long runs.
 Defined cases: a null or empty text has no spans (the digest is that of the
 empty string); equal or overlapping base spans of several kinds all stay; an
 added span that overlaps a base span, or an added one before it, is dropped;
-repeated rows each give a row; other columns are left alone by ``redact``.
+repeated rows each give a row; other columns are left alone by ``redact``, but their
+names must not begin with ``_sl_``.  An empty table gives none; very long texts are
+read whole.
 """
 
 from __future__ import annotations

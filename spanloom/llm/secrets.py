@@ -9,7 +9,10 @@ covers it.
 
 Defined cases: a null or empty text has no spans (the digest is that of the
 empty string); offsets count code points, ends are exclusive; repeated rows each
-give a row.
+give a row.  An added span runs from the first to the last hot window of its run,
+cold ones between them included; one that overlaps a base span is left out, base
+spans that overlap all stay.  An empty table gives none; very long texts are read
+whole; other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
