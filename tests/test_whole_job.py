@@ -2,7 +2,7 @@
 
 import random
 
-from spanloom.operators import audit, augment, splits
+from spanloom.operators import audit, augment, metrics, splits
 from spanloom.plans import catalogue
 
 
@@ -72,3 +72,28 @@ def test_mask_many_mails(spark, tmp_path):
     for d, n in ((1, 1), (2, 10), (3, 11), (4, 123)):
         masked = len(" ".join(f"say {'x' * (8 + len(str(i)))} now" for i in range(n)))
         assert (got[d]["n_masked"], got[d]["len_masked"], got[d]["same"]) == (n, masked, True)
+
+
+def test_fit_thresholds(spark):
+    rng = random.Random(8)
+    golds = [(d, 10 * i, 10 * i + 4, rng.choice(["PER", "LOC"])) for d in range(30) for i in range(6)]
+    scored = [(*g, 0.5 + rng.randrange(11) / 20) for g in golds if rng.random() < 0.9] + [(d, 10 * i + 5, 10 * i + 8, rng.choice(["PER", "LOC"]), rng.randrange(14) / 20) for d in range(30) for i in range(4)]
+    scored += scored[:5] + [(99, 0, 1, "LOC", None)]
+    schema = "doc_id long, start long, end long, type string"
+    cuts = metrics.fit_thresholds(spark.createDataFrame(golds, schema), spark.createDataFrame(scored, f"{schema}, score double"))
+    best = {}
+    for *span, score in scored:
+        best[tuple(span)] = max(best.get(tuple(span), 0.0), 1.0 if score is None else score)
+
+    def value(chosen):
+        kept = {s for s, score in best.items() if score >= chosen[s[3]]}
+        tp = len(kept & set(golds))
+        p, r = tp / len(kept) if kept else 0.0, tp / len(set(golds))
+        return (2 * p * r / (p + r) if p + r else 0.0) - 100 * max(0.0, 0.93 - p) - 100 * max(0.0, 0.93 - r)
+
+    assert set(cuts) == {"PER", "LOC"}
+    # no cut of one type alone does better
+    for t in cuts:
+        assert all(value(cuts | {t: c}) <= value(cuts) + 1e-9 for c in {0.0, *best.values()})
+    assert value(cuts) > value({"PER": 0.0, "LOC": 0.0})
+    assert metrics.fit_thresholds(spark.createDataFrame(golds, schema), spark.createDataFrame([], f"{schema}, score double")) == {}
