@@ -170,14 +170,18 @@ def unique_texts(records: DataFrame) -> DataFrame:
     return records.join(F.broadcast(start), "fold").withColumn("sent_idx", F.col("_start") + F.col("row")).drop("_start")
 
 
-def fingerprint(rows: DataFrame, key: str, payload: str, block: int = 4096, fan: int = 256) -> DataFrame:
-    """Order-sensitive digest of a table: digests of rows, of blocks of keys, then of ``fan`` digests at a time until one is left."""
+def fingerprint(rows: DataFrame, key: str, payload: str, block: int = 4096, fan: int = 256, levels: int | None = None) -> DataFrame:
+    """Order-sensitive digest of a table: digests of rows, of blocks of keys, then of ``fan`` digests at a time until one is left.
+
+    With ``levels`` digests are taken ``fan`` at a time so many times at most, then all that are left at once.
+    """
     level = rows.select(F.floor(F.col(key) / block).alias("b"), F.col(key).alias("k"), F.sha2(payload, 256).alias("d"))
     joined = lambda c: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "d"))), lambda x: x["d"]), ","), 256).alias(c)
     level = level.groupBy("b").agg(joined("d"))
     least, most = rows.agg(F.floor(F.min(key) / block), F.floor(F.max(key) / block)).first()
     span = 0 if most is None else most - least + 1
-    while span > fan:
+    while span > fan and levels != 0:
+        levels = None if levels is None else levels - 1
         level, least, span = level.select(F.floor((F.col("b") - least) / fan).alias("b"), F.col("b").alias("k"), "d").groupBy("b").agg(joined("d")), 0, -(-span // fan)
     return level.select(F.col("b").alias("k"), "d").agg(joined("d")).select(F.substring("d", 1, 16).alias("fingerprint"))
 

@@ -2,6 +2,8 @@
 
 import random
 
+import duckdb
+
 from spanloom.operators import audit, augment, metrics, splits
 from spanloom.plans import catalogue
 
@@ -97,3 +99,13 @@ def test_fit_thresholds(spark):
         assert all(value(cuts | {t: c}) <= value(cuts) + 1e-9 for c in {0.0, *best.values()})
     assert value(cuts) > value({"PER": 0.0, "LOC": 0.0})
     assert metrics.fit_thresholds(spark.createDataFrame(golds, schema), spark.createDataFrame([], f"{schema}, score double")) == {}
+
+
+def test_record_fingerprint_many_blocks(spark, tmp_path):
+    # over 8 * 8 * 8 blocks of 64 ids
+    rows = [(100 + 64 * i, f"Text {'Alpha' if i % 3 else 'beta'} {i}", "en") for i in range(520)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(catalogue.oracle_sql()["record_fingerprint"]).fetchall()
+    assert [tuple(r) for r in catalogue.queries()["record_fingerprint"](spark, str(tmp_path)).collect()] == want
